@@ -120,16 +120,15 @@ def marts() -> dict[str, str]:
         "cost"), "category:s productid:b name:s total_revenue:d total_cost:d total_margin:d margin_pct:d rank_in_cat:b")
     o["m002_promo_performance"] = typed(star(f"""
         WITH tx AS (SELECT promoid, COUNT(DISTINCT salesid) AS n,
-                      SUM(CAST(CASE WHEN grossvalue > 0 THEN {q('discountamount', 'grossvalue')} ELSE 0 END
-                          AS DECIMAL(20,10))) AS rates, COUNT(*) AS lines FROM sale GROUP BY 1),
+                      AVG(CASE WHEN grossvalue > 0 THEN {q('discountamount', 'grossvalue')} ELSE 0 END) AS rate FROM sale GROUP BY 1),
         mg AS (SELECT promoid, SUM(qty) AS total_qty, SUM(rev) AS revenue, SUM(margin) AS margin
                FROM cost WHERE isreturn = 0 GROUP BY 1),
         b AS (SELECT {q('SUM(rev)', 'COUNT(*)')} AS base FROM sale WHERE promoid = 0),
         x AS (SELECT p.promoid, promoname, type, discount_pct, promoupliftfactor, n AS num_transactions, total_qty,
-                     revenue, margin, rates, lines, {q('revenue', 'n')} AS basket, base
+                     revenue, margin, rate, {q('revenue', 'n')} AS basket, base
               FROM promo p JOIN mg ON p.promoid = mg.promoid JOIN tx ON p.promoid = tx.promoid, b WHERE p.promoid <> 0)
         SELECT promoid, promoname, type, discount_pct, promoupliftfactor, num_transactions, total_qty, revenue, margin,
-               {r(q('rates', 'lines'), 8)} AS avg_disc_rate, {r('basket', 2)} AS avg_basket,
+               {r('rate', 8)} AS avg_disc_rate, {r('basket', 2)} AS avg_basket,
                {r('(basket - base) / base', 4)} AS uplift_pct, {r(q('margin', 'revenue'), 4)} AS margin_pct,
                RANK() OVER (ORDER BY margin DESC) AS margin_rank,
                RANK() OVER (ORDER BY (basket - base) / base DESC) AS uplift_rank FROM x""", "sale", "cost", "promo"),
@@ -316,9 +315,9 @@ def reports() -> dict[str, str]:
     o["r10_top_product_names"] = typed(star("""
         SELECT name, SUM(net) AS revenue FROM cost WHERE isreturn = 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""", "cost"),
         "name:s revenue:d")
-    rate = f"CAST({q('discountamount', 'grossvalue')} AS DECIMAL(20,10))"
+    rate = q("discountamount", "grossvalue")
     o["r12_average_discount"] = typed(star(f"""
-        SELECT {r(q(f'SUM({rate})', f'COUNT({rate})'), 8)} AS avg_discount_pct FROM sale
+        SELECT {r(f'AVG({rate})', 8)} AS avg_discount_pct FROM sale
         WHERE discountapplied = 1 AND grossvalue > 0""", "sale"), "avg_discount_pct:d")
     o["r13_delivery_days_by_channel"] = typed(star(
         f"SELECT channel, {q('SUM(deliverydays)', n)} AS avg_delivery_days FROM sale GROUP BY 1", "sale"),

@@ -16,8 +16,8 @@ def _c(x) -> Column:
 
 
 def revenue() -> Column:
-    """Pre-tax revenue of a line; negative on returns."""
-    return F.col("grossvalue") - F.col("discountamount")
+    """Pre-tax revenue of a line (``Star.sales("revenue")``); negative on returns."""
+    return F.col("revenue")
 
 
 def revenue_incl_tax() -> Column:
@@ -58,6 +58,21 @@ def rounded(x, digits: int) -> Column:
     return F.round(_c(x).cast("decimal(28,10)"), digits).cast("double")
 
 
+FIXED_DIGITS = 10
+
+
+def fixed(x) -> Column:
+    """A fraction as a whole number of 10**-FIXED_DIGITS units.  Sums of these are exact, so
+    an average of row ratios does not depend on the order the rows are added in."""
+    return F.floor(_c(x) * F.lit(10.0**FIXED_DIGITS) + F.lit(0.5)).cast("decimal(20,0)")
+
+
+def mean_of_fixed(total, n, digits: int | None = None) -> Column:
+    """Average from a sum of ``fixed`` values and a count."""
+    value = ratio(total, n) / F.lit(10.0**FIXED_DIGITS)
+    return value if digits is None else rounded(value, digits)
+
+
 def clip(x, low, high) -> Column:
     return F.least(F.greatest(_c(x), F.lit(low)), F.lit(high))
 

@@ -122,8 +122,7 @@ def pairs(
     all_baskets = items.agg(F.count_distinct("basket").alias("n")).scalar()
     popularity = items.groupBy("item").agg(F.count(F.lit(1)).alias("baskets"))
     if top is not None:
-        stored, _ = materialize(_best(counted, top))
-        counted = F.broadcast(stored)  # at most ``top`` rows
+        counted = F.broadcast(_best(counted, top))  # at most ``top`` rows
     pop_a = popularity.select(F.col("item").alias("item_a"), F.col("baskets").alias("baskets_a"))
     pop_b = popularity.select(F.col("item").alias("item_b"), F.col("baskets").alias("baskets_b"))
     return (

@@ -62,7 +62,7 @@ def dedup(df: DataFrame, pk: Sequence[str], order: Sequence[Column] | None = Non
     if order is None:
         order = [F.col("_ingestion_ts").desc()] if "_ingestion_ts" in df.columns else []
     content = [c for c in df.columns if not c.startswith("_")]
-    w = Window.partitionBy(*pk).orderBy(*order, F.xxhash64(*content), *[F.col(c) for c in content])
+    w = Window.partitionBy(*pk).orderBy(*order, F.xxhash64(*content))
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
@@ -91,30 +91,30 @@ def literal_row(df: DataFrame, values: dict) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if f.name in values:
-            v = F.lit(values[f.name])
+            v = f"'{values[f.name]}'"
         elif isinstance(f.dataType, T.StringType):
-            v = F.lit("")
-        elif isinstance(f.dataType, T.NumericType):
-            v = F.lit(0)
+            v = "''"
         else:
-            v = F.lit(None)
-        cols.append(v.cast(f.dataType).alias(f.name))
-    return df.sparkSession.range(1).select(*cols)
+            v = "0" if isinstance(f.dataType, T.NumericType) else "NULL"
+        cols.append(f"CAST({v} AS {f.dataType.simpleString()}) AS `{f.name}`")
+    return df.sparkSession.sql(f"SELECT {', '.join(cols)}")
 
 
-def with_special_members(df: DataFrame, spec: TableSpec) -> DataFrame:
+def with_special_members(df: DataFrame, spec: TableSpec, check: bool = True) -> DataFrame:
     """Append the table's unknown and none members where they are missing.
 
     Only the special keys are looked up (a filter that reaches the scan), so asking does not
-    shuffle the dimension.
+    shuffle the dimension.  ``check=False`` skips even that when they cannot be there.
     """
-    keys = [r[spec.pk] for r in spec.special_rows]
-    present = df.filter(F.col(spec.pk).isin(keys)).select(spec.pk)
     members = None
     for values in spec.special_rows:
         row = literal_row(df, values)
         members = row if members is None else members.unionByName(row)
-    return df.unionByName(members.join(present, spec.pk, "left_anti"))
+    if check:
+        keys = [r[spec.pk] for r in spec.special_rows]
+        present = df.filter(F.col(spec.pk).isin(keys)).select(spec.pk)
+        members = members.join(present, spec.pk, "left_anti")
+    return df.unionByName(members)
 
 
 def restricted(df: DataFrame, store: DataFrame, region: str | None, admin: bool = False) -> DataFrame:

@@ -23,21 +23,19 @@ def customer_summary(sales: DataFrame, product: DataFrame) -> DataFrame:
     product is in the dimension; ``orders`` and ``last_key`` cover all lines.
     """
     known = F.col("unitcost").isNotNull()
-    rev = m.revenue()
-    margin = rev - m.cost()
     lines = sales.join(product.select("productid", "unitcost"), "productid", "left")
     baskets = lines.groupBy("customerid", "salesid").agg(
         F.max("datekey").alias("last_key"),
         F.max(known.cast("int")).alias("known"),
-        F.sum(F.when(known, rev)).alias("rev"),
-        F.sum(margin).alias("margin"),
+        F.sum(F.when(known, m.revenue())).alias("rev"),
+        F.sum(m.cost()).alias("cost"),
     )
     return baskets.groupBy("customerid").agg(
         F.max("last_key").alias("last_key"),
         F.count(F.lit(1)).alias("orders"),
         F.sum(F.col("known").cast("long")).alias("known_orders"),
         F.sum("rev").alias("monetary"),
-        F.sum("margin").alias("margin_total"),
+        (F.sum("rev") - F.sum("cost")).alias("margin_total"),
     )
 
 

@@ -12,7 +12,7 @@ Refs = dict[str, tuple[DataFrame, str]]
 
 def names_frame(spark: SparkSession, names: Sequence[str], column: str) -> DataFrame:
     """A few literal names as rows, in the given order (``_pos``)."""
-    return spark.range(1).select(F.posexplode(F.array(*map(F.lit, names))).alias("_pos", column))
+    return spark.range(0, 1, 1, 1).select(F.posexplode(F.array(*map(F.lit, names))).alias("_pos", column))
 
 
 def orphan_keys(fact: DataFrame, refs: Refs) -> DataFrame:

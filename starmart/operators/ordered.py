@@ -37,8 +37,9 @@ def _range_sorted(df: DataFrame, order: Sequence[Column], partitions: int | None
     The partition boundaries are sampled, so the result is stored: both the offset pass and
     the final pass must see the same boundaries.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without a given number AQE merges small neighbouring ranges, which keeps the order.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order)
     stored, _ = materialize(ranged.withColumn("_id", F.monotonically_increasing_id()))
     return stored.select(
         "*",

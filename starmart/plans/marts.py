@@ -33,7 +33,7 @@ def _margin():
 
 def product_category_margin(star: Star) -> DataFrame:
     """Revenue, cost and margin per product with its rank in the category by margin share."""
-    sales = star.sales("productid", "qty", "grossvalue", "discountamount", "isreturn").filter(m.is_sale())
+    sales = star.sales("productid", "qty", "revenue", "isreturn").filter(m.is_sale())
     sold = aggregate_then_join(
         sales, "productid", _sums(), star.product.select("productid", "category", "name", "unitcost")
     ).filter("revenue > 0")
@@ -67,10 +67,9 @@ def promo_performance(star: Star) -> DataFrame:
     reported like any other promotion.
     """
     n_promos = star.rows("dim_promotion")
-    sales = star.sales("promoid", "productid", "qty", "grossvalue", "discountamount", "isreturn").filter(m.is_sale())
-    rate = F.coalesce(
-        F.when(F.col("grossvalue") > 0, m.ratio("discountamount", "grossvalue")), F.lit(0.0)
-    ).cast("decimal(20,10)")
+    sales = star.sales("promoid", "productid", "qty", "revenue", "grossvalue", "discountamount", "isreturn").filter(m.is_sale())
+    rate = m.fixed(F.coalesce(
+        F.when(F.col("grossvalue") > 0, m.ratio("discountamount", "grossvalue")), F.lit(0.0)))
     # Catalyst does not aggregate below a join: sum by promotion and product first.  A left
     # join keeps lines of unknown products for the baseline and the discount rate, which are
     # defined on the fact alone.
@@ -110,7 +109,7 @@ def promo_performance(star: Star) -> DataFrame:
     return out.select(
         "promoid", "promoname", "type", "discount_pct", "promoupliftfactor", "num_transactions",
         "total_qty", "revenue", "margin",
-        m.ratio("rates", "lines", 8).alias("avg_disc_rate"),
+        m.mean_of_fixed("rates", "lines", 8).alias("avg_disc_rate"),
         m.rounded(per_order, 2).alias("avg_basket"),
         m.rounded("_uplift", 4).alias("uplift_pct"),
         m.ratio("margin", "revenue", 4).alias("margin_pct"),
@@ -122,7 +121,7 @@ def promo_performance(star: Star) -> DataFrame:
 def customer_rfm_segments(star: Star) -> DataFrame:
     """Customers by RFM segment with average and total value."""
     sales = star.sales(
-        "customerid", "salesid", "datekey", "productid", "qty", "grossvalue", "discountamount", "isreturn"
+        "customerid", "salesid", "datekey", "productid", "qty", "revenue", "isreturn"
     ).filter(m.is_sale())
     scored = rfm(sales, star.product, star.date, star.as_of, max_rows=star.rows("dim_customer"))
     pct = m.ratio("margin_total", "monetary").cast("decimal(28,10)")
@@ -136,7 +135,7 @@ def customer_rfm_segments(star: Star) -> DataFrame:
 
 def returns_analysis(star: Star) -> DataFrame:
     """Returned lines by channel and reason."""
-    returns = star.sales("channel", "returnreason", "shipcost", "grossvalue", "discountamount", "isreturn").filter(
+    returns = star.sales("channel", "returnreason", "shipcost", "revenue", "isreturn").filter(
         m.is_return()
     )
     grouped = returns.groupBy("channel", "returnreason").agg(
@@ -150,7 +149,7 @@ def returns_analysis(star: Star) -> DataFrame:
 def channel_performance(star: Star) -> DataFrame:
     """Channel averages per line; returns are part of it."""
     sales = star.sales(
-        "channel", "productid", "deliverydays", "shipcost", "qty", "grossvalue", "discountamount", "isreturn"
+        "channel", "productid", "deliverydays", "shipcost", "qty", "revenue", "isreturn"
     )
     n = F.sum("lines")
     return aggregate_then_join(
@@ -179,7 +178,7 @@ def channel_performance(star: Star) -> DataFrame:
 
 def seasonal_category_revenue(star: Star) -> DataFrame:
     """Revenue by calendar month (all years together) and category, ranked in the category."""
-    sales = star.sales("datekey", "productid", "qty", "grossvalue", "discountamount", "isreturn").filter(m.is_sale())
+    sales = star.sales("datekey", "productid", "qty", "revenue", "isreturn").filter(m.is_sale())
     # Days collapse to twelve months before the product join, so its input is months x products.
     months = sales.join(star.date.select("datekey", "monthnumber", "monthname"), "datekey")
     by_month = aggregate_then_join(
@@ -201,7 +200,7 @@ def store_performance_by_region_type(star: Star) -> DataFrame:
     ``unique_customers`` adds up distinct customers per store: someone who buys in two stores
     counts twice.
     """
-    sales = star.sales("storeid", "productid", "qty", "grossvalue", "discountamount", "isreturn").filter(m.is_sale())
+    sales = star.sales("storeid", "productid", "qty", "revenue", "isreturn").filter(m.is_sale())
     money = aggregate_then_join(
         sales,
         "productid",
@@ -232,7 +231,7 @@ def store_performance_by_region_type(star: Star) -> DataFrame:
 
 def product_totals(star: Star) -> DataFrame:
     """Revenue and margin per product sold."""
-    sales = star.sales("productid", "qty", "grossvalue", "discountamount", "isreturn").filter(m.is_sale())
+    sales = star.sales("productid", "qty", "revenue", "isreturn").filter(m.is_sale())
     return aggregate_then_join(
         sales, "productid", _sums(), star.product.select("productid", "unitcost"), derived={"margin": _margin()}
     ).select("productid", "revenue", "margin")
@@ -256,7 +255,7 @@ def pareto_margin(star: Star) -> DataFrame:
 def delivery_speed_impact(star: Star) -> DataFrame:
     """Shipped channels by category and delivery speed; returns are part of it."""
     sales = (
-        star.sales("channel", "productid", "deliverydays", "grossvalue", "discountamount", "isreturn")
+        star.sales("channel", "productid", "deliverydays", "revenue", "isreturn")
         .filter(F.col("channel").isin(SHIPPED_CHANNELS))
         .withColumn("delivery_speed", banding.DELIVERY_SPEED.of("deliverydays"))
     )
@@ -279,7 +278,7 @@ def delivery_speed_impact(star: Star) -> DataFrame:
 
 def warranty_eco_impact(star: Star) -> DataFrame:
     """Product flags against quantity, revenue and returns; returns are part of it."""
-    sales = star.sales("productid", "customerid", "qty", "grossvalue", "discountamount", "isreturn")
+    sales = star.sales("productid", "customerid", "qty", "revenue", "isreturn")
     flags = star.product.select("productid", "haswarranty", "ecofriendly")
     n = F.count(F.lit(1))
     return sales.join(flags, "productid").groupBy("haswarranty", "ecofriendly").agg(
@@ -293,7 +292,7 @@ def warranty_eco_impact(star: Star) -> DataFrame:
 def hourly_sales_margin(star: Star) -> DataFrame:
     """Hours of the day by channel; returns are part of it."""
     sales = star.sales(
-        "hour", "channel", "productid", "qty", "grossvalue", "discountamount", "isreturn", "deliverydays"
+        "hour", "channel", "productid", "qty", "revenue", "isreturn", "deliverydays"
     ).filter("hour IS NOT NULL")
     hours = aggregate_then_join(
         sales,
@@ -357,7 +356,7 @@ def basket_analysis(star: Star, top: int = 100, **opts) -> DataFrame:
 def delivery_speed_impact_detailed(star: Star) -> DataFrame:
     """Delivery speed and channel with margin; ``margin_pct`` divides the rounded averages."""
     sales = (
-        star.sales("channel", "productid", "deliverydays", "qty", "shipcost", "grossvalue", "discountamount", "isreturn")
+        star.sales("channel", "productid", "deliverydays", "qty", "shipcost", "revenue", "isreturn")
         .filter(F.col("channel").isin(SHIPPED_CHANNELS) & (F.col("deliverydays") > 0))
         .withColumn("delivery_speed", banding.DELIVERY_SPEED_SHORT.of("deliverydays"))
     )
@@ -388,7 +387,7 @@ def delivery_speed_impact_detailed(star: Star) -> DataFrame:
 
 def margin_by_price_tier(star: Star) -> DataFrame:
     """Stored product margin against the margin achieved, by price tier and category."""
-    sales = star.sales("productid", "qty", "grossvalue", "discountamount", "isreturn").filter(m.is_sale())
+    sales = star.sales("productid", "qty", "revenue", "isreturn").filter(m.is_sale())
     achieved = m.ratio(F.sum("margin"), F.sum("revenue"))
     stored = m.ratio(F.sum("margin_pct"), F.count("margin_pct"))
     return aggregate_then_join(
@@ -413,7 +412,7 @@ def margin_by_price_tier(star: Star) -> DataFrame:
 def recency_impact_on_spend(star: Star) -> DataFrame:
     """Spend of customers by how long ago they last bought.  Spend covers all their sales."""
     sales = star.sales(
-        "customerid", "salesid", "datekey", "productid", "qty", "grossvalue", "discountamount", "isreturn"
+        "customerid", "salesid", "datekey", "productid", "qty", "revenue", "isreturn"
     ).filter(m.is_sale())
     customers = recency(customer_summary(sales, star.product), star.date, star.as_of, banding.RECENCY)
     orders, value, margin = F.sum("known_orders"), F.sum("monetary"), F.sum("margin_total")
@@ -430,7 +429,7 @@ def recency_impact_on_spend(star: Star) -> DataFrame:
 def promo_margin_efficiency(star: Star) -> DataFrame:
     """Promotions by margin per order against lines sold without a promotion."""
     n_promos = star.rows("dim_promotion")
-    sales = star.sales("promoid", "productid", "qty", "grossvalue", "discountamount", "isreturn").filter(m.is_sale())
+    sales = star.sales("promoid", "productid", "qty", "revenue", "isreturn").filter(m.is_sale())
     promos = aggregate_then_join(
         sales,
         "productid",

@@ -67,13 +67,13 @@ def order_positions(star: OrderLineStar) -> DataFrame:
 
 def customer_rfm_scores(star: OrderLineStar) -> DataFrame:
     sales = star.sales(
-        "customerid", "salesid", "datekey", "productid", "qty", "grossvalue", "discountamount", "isreturn"
+        "customerid", "salesid", "datekey", "productid", "qty", "revenue", "isreturn"
     ).filter(m.is_sale())
     return rfm(sales, star.product, star.date, star.as_of)
 
 
 def _customer_revenue(star: OrderLineStar) -> DataFrame:
-    sales = star.sales("customerid", "grossvalue", "discountamount", "isreturn").filter(m.is_sale())
+    sales = star.sales("customerid", "revenue", "isreturn").filter(m.is_sale())
     return sales.groupBy("customerid").agg(F.sum(m.revenue()).alias("revenue"))
 
 

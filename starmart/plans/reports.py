@@ -120,8 +120,8 @@ def average_discount(star: Star) -> DataFrame:
     sales = star.sales("discountamount", "grossvalue", "discountapplied", "isreturn").filter(
         m.is_sale() & (F.col("discountapplied") == 1) & (F.col("grossvalue") > 0)
     )
-    rate = m.ratio("discountamount", "grossvalue").cast("decimal(20,10)")
-    return sales.agg(m.ratio(F.sum(rate), F.count(rate), 8).alias("avg_discount_pct"))
+    rate = m.fixed(m.ratio("discountamount", "grossvalue"))
+    return sales.agg(m.mean_of_fixed(F.sum(rate), F.count(rate), 8).alias("avg_discount_pct"))
 
 
 def delivery_days_by_channel(star: Star) -> DataFrame:

@@ -20,21 +20,31 @@ RESULT_COLUMNS = (
 )
 
 
-def _result(rule: Rule, issues: Column, expected: Column, actual: Column, ok: Column) -> Column:
-    return F.struct(
-        F.lit(rule.table).alias("table_name"),
-        F.lit(rule.group).alias("check_group"),
-        F.lit(rule.name).alias("check_name"),
-        F.lit(rule.description).alias("description"),
-        issues.cast("long").alias("issue_count"),
-        expected.alias("expected_value"),
-        actual.cast("string").alias("actual_value"),
-        F.when(ok, F.lit("PASS")).otherwise(F.lit(rule.severity)).alias("status"),
-    )
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _result(rule: Rule, issues: str, expected: str, actual: str, ok: str) -> str:
+    """SQL struct with the columns of a result row; the arguments are SQL expressions."""
+    fields = {
+        "table_name": _text(rule.table),
+        "check_group": _text(rule.group),
+        "check_name": _text(rule.name),
+        "description": _text(rule.description),
+        "issue_count": f"CAST({issues} AS BIGINT)",
+        "expected_value": expected,
+        "actual_value": f"CAST({actual} AS STRING)",
+        "status": f"CASE WHEN {ok} THEN 'PASS' ELSE {_text(rule.severity)} END",
+    }
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+
+def _zero_issues(rule: Rule, issues: str) -> str:
+    return _result(rule, issues, "'0'", issues, f"{issues} = 0")
 
 
-def _zero_issues(rule: Rule, issues: Column) -> Column:
-    return _result(rule, issues, F.lit("0"), issues, issues == 0)
+def _rows(df: DataFrame, results: Sequence[str]) -> DataFrame:
+    return df.selectExpr(f"inline(array({', '.join(results)}))")
 
 
 def _one_pass(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -43,21 +53,20 @@ def _one_pass(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for i, r in enumerate(rules):
         name = f"c{i}"
         if r.kind == "row":
-            bad = F.expr(r.condition)
-            aggs.append(F.count_if(bad & F.expr(r.scope) if r.real_only else bad).alias(name))
-            results.append(_zero_issues(r, F.col(name)))
+            scope = f" AND {r.scope}" if r.real_only else ""
+            aggs.append(F.expr(f"count_if(({r.condition}){scope}) AS {name}"))
+            results.append(_zero_issues(r, name))
         elif r.kind == "count":
-            aggs.append(F.count(F.lit(1)).alias(name))
-            n = F.col(name)
-            ok = n >= r.low if r.high is None else n.between(r.low, r.high)
+            aggs.append(F.expr(f"count(1) AS {name}"))
+            ok = f"{name} >= {r.low}" + ("" if r.high is None else f" AND {name} <= {r.high}")
             expected = f">= {r.low}" if r.high is None else f"{r.low}..{r.high}"
-            results.append(_result(r, F.when(ok, 0).otherwise(1), F.lit(expected), n, ok))
+            results.append(_result(r, f"CASE WHEN {ok} THEN 0 ELSE 1 END", _text(expected), name, ok))
         elif r.kind == "latest":
-            aggs.append(F.max(r.columns[0]).alias(name))
-            want, got = F.expr(r.condition), F.col(name)
-            ok = F.coalesce(got == want, F.lit(False))
-            results.append(_result(r, F.when(ok, 0).otherwise(1), want.cast("string"), got, ok))
-    return df.agg(*aggs).select(F.inline(F.array(*results)))
+            aggs.append(F.expr(f"max({r.columns[0]}) AS {name}"))
+            ok = f"coalesce({name} = {r.condition}, FALSE)"
+            results.append(_result(
+                r, f"CASE WHEN {ok} THEN 0 ELSE 1 END", f"CAST({r.condition} AS STRING)", name, ok))
+    return _rows(df.agg(*aggs), results)
 
 
 def check(star: Star, rules: Sequence[Rule]) -> DataFrame:
@@ -74,18 +83,13 @@ def check(star: Star, rules: Sequence[Rule]) -> DataFrame:
             source = star.sales(*r.columns) if table == "fact_sales" else star.table(table)
             if r.real_only:
                 source = source.filter(r.scope)
-            dup = duplicate_count(source, r.columns).withColumn("i", F.col("duplicates"))
-            parts.append(dup.select(F.inline(F.array(_zero_issues(r, F.col("i"))))))
+            parts.append(_rows(duplicate_count(source, r.columns), [_zero_issues(r, "duplicates")]))
         fks = {r.columns[0]: r for r in mine if r.kind == "fk"}
         if fks:
             refs = {fk: (star.table(TABLES[table].fks[fk][0]), TABLES[table].fks[fk][1]) for fk in fks}
             counts = orphans(star.sales(*refs), refs)
-            per_fk = reduce(
-                lambda acc, fk: acc.when(F.col("fk") == fk, _zero_issues(fks[fk], F.col("orphan_count"))),
-                list(fks)[1:],
-                F.when(F.col("fk") == list(fks)[0], _zero_issues(fks[list(fks)[0]], F.col("orphan_count"))),
-            )
-            parts.append(counts.select(F.inline(F.array(per_fk))))
+            whens = " ".join(f"WHEN '{fk}' THEN {_zero_issues(r, 'orphan_count')}" for fk, r in fks.items())
+            parts.append(_rows(counts, [f"CASE fk {whens} END"]))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -226,7 +230,7 @@ def model_contract(star: Star) -> DataFrame:
     """Checks of the model itself, issues first."""
     spec = FACT_SALES
     have = set(star.table("fact_sales").columns)
-    one = star.spark.range(1)
+    one = star.spark.range(0, 1, 1, 1)
     missing = [fk for fk in spec.fks if fk not in have]
     extra = [c for c in sorted(have) if c not in spec.names and not c.startswith("_")]
     parts = [

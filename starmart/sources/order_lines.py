@@ -20,9 +20,23 @@ from starmart.schemas import MONEY, TABLES
 from starmart.sources.star import Star
 
 _SIGN = "CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END"
-_GROSS = f"CAST(l_extendedprice AS {MONEY})"
-_DISC = f"CAST({_GROSS} * CAST(l_discount AS DECIMAL(5,2)) AS {MONEY})"
-_TAX = f"CAST(({_GROSS} - {_DISC}) * CAST(l_tax AS DECIMAL(5,2)) AS {MONEY})"
+
+# The source holds money as DOUBLE.  Amounts are worked out in whole cents and turned into
+# DECIMAL once at the end: a cast from DOUBLE to DECIMAL goes through text and is slow.
+_GROSS = "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)"
+
+
+def _percent_of(cents: str, fraction: str) -> str:
+    """Cents of a whole-percent fraction, half a cent up."""
+    return f"CAST(floor(({cents} * floor({fraction} * 100 + 0.5) + 50) / CAST(100 AS DOUBLE)) AS BIGINT)"
+
+
+def _money(cents: str) -> str:
+    return f"CAST(CAST({cents} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS {MONEY})"
+
+
+_DISC = _percent_of(_GROSS, "l_discount")
+_TAX = _percent_of(f"({_GROSS} - {_DISC})", "l_tax")
 _CHANNEL = (
     "CASE o_orderpriority WHEN '2-HIGH' THEN 'Mobile App' WHEN '3-MEDIUM' THEN 'In-Store' "
     "WHEN '4-NOT SPECIFIED' THEN 'Phone Order' ELSE 'Online' END"
@@ -40,19 +54,19 @@ FACT = {
     "qty": ("CAST(l_quantity AS INT)", False),
     "unitprice": (f"CAST(floor(l_extendedprice / l_quantity) AS {MONEY})", False),
     "tax_rate": ("CAST(l_tax AS DECIMAL(10,4))", False),
-    "net": (f"CAST(({_SIGN}) * ({_GROSS} - {_DISC} + {_TAX}) AS {MONEY})", False),
+    "net": (_money(f"({_SIGN}) * ({_GROSS} - {_DISC} + {_TAX})"), False),
     "payment": (
         "CASE l_suppkey % 5 WHEN 0 THEN 'Card' WHEN 1 THEN 'Cash' WHEN 2 THEN 'Bank Transfer' "
         "WHEN 3 THEN 'Digital Wallet' ELSE 'PayPal' END", False),
     "channel": (_CHANNEL, True),
-    "grossvalue": (f"CAST(({_SIGN}) * {_GROSS} AS {MONEY})", False),
-    "discountamount": (f"CAST(({_SIGN}) * {_DISC} AS {MONEY})", False),
-    "taxamount": (f"CAST(({_SIGN}) * {_TAX} AS {MONEY})", False),
+    "grossvalue": (_money(f"({_SIGN}) * {_GROSS}"), False),
+    "discountamount": (_money(f"({_SIGN}) * {_DISC}"), False),
+    "taxamount": (_money(f"({_SIGN}) * {_TAX}"), False),
     "shipcost": (
-        f"CAST(CASE WHEN {_ONLINE} AND l_returnflag <> 'R' "
-        f"THEN CAST(l_quantity AS DECIMAL(10,0)) * CAST(0.5 AS DECIMAL(2,1)) ELSE 0 END AS {MONEY})", True),
+        _money(f"CASE WHEN {_ONLINE} AND l_returnflag <> 'R' THEN CAST(floor(l_quantity * 50) AS BIGINT) ELSE 0 END"),
+        True),
     "isreturn": ("CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS TINYINT)", False),
-    "shipweight": ("CAST(CAST(l_quantity AS DECIMAL(10,0)) * CAST(0.3 AS DECIMAL(2,1)) AS DECIMAL(10,2))", False),
+    "shipweight": (f"CAST({_money('CAST(floor(l_quantity * 30 + 0.5) AS BIGINT)')} AS DECIMAL(10,2))", False),
     "discountapplied": (f"CAST(CASE WHEN {_DISC} <> 0 THEN 1 ELSE 0 END AS TINYINT)", False),
     "returnreason": (
         "CASE WHEN l_returnflag <> 'R' THEN 'No return' ELSE CASE l_partkey % 6 WHEN 0 THEN 'Defective' "
@@ -64,6 +78,9 @@ FACT = {
     "hour": ("CAST(l_orderkey % 24 AS TINYINT)", False),
 }
 
+# Measures of a line that analyses ask for by name, see Star.sales.
+MEASURES = {"revenue": (_money(f"({_SIGN}) * ({_GROSS} - {_DISC})"), False)}
+
 _RETAIL = "CAST(p_retailprice AS DECIMAL(18,2))"
 _PRICE = f"CAST({_RETAIL} * CAST(p_size AS DECIMAL(4,0)) * CAST(0.04 AS DECIMAL(3,2)) AS {MONEY})"
 _COST_TENTHS = "CAST(5 + 2 * (p_partkey % 11) AS DECIMAL(4,0))"
@@ -190,11 +207,12 @@ class OrderLineStar(Star):
         """Order lines; the orders table is joined only for columns that come from it.  Every
         line has exactly one order, so leaving the join out changes no row."""
         columns = columns or tuple(FACT)
+        exprs = FACT | MEASURES
         lines = self.raw("lineitem")
-        if any(FACT[c][1] for c in columns):
+        if any(exprs[c][1] for c in columns):
             orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
             lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        return lines.selectExpr(*[f"{FACT[c][0]} AS {c}" for c in columns])
+        return lines.selectExpr(*[f"{exprs[c][0]} AS {c}" for c in columns])
 
     def table(self, name: str) -> DataFrame:
         if name == "fact_sales":
@@ -207,7 +225,8 @@ class OrderLineStar(Star):
                 "dim_promotion": self._promotions,
                 "dim_date": lambda: calendar(self.spark, *self._span),
             }[name]
-            self.tables[name] = with_special_members(build(), TABLES[name])
+            # Derived keys start at 1, so the special members cannot be there already.
+            self.tables[name] = with_special_members(build(), TABLES[name], check=False)
         return self.tables[name]
 
     def _map(self, source: str | DataFrame, exprs: dict[str, str]) -> DataFrame:

@@ -32,8 +32,11 @@ class Star:
         return self.tables[name]
 
     def sales(self, *columns: str) -> DataFrame:
+        """Fact rows with the given columns.  ``revenue`` is pre-tax revenue of the line,
+        gross less discount, negative on returns."""
         fact = self.table("fact_sales")
-        return fact.select(*columns) if columns else fact
+        measures = {"revenue": F.col("grossvalue") - F.col("discountamount")}
+        return fact.select(*[measures[c].alias(c) if c in measures else c for c in columns]) if columns else fact
 
     @property
     def product(self) -> DataFrame:
