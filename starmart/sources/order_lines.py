@@ -199,9 +199,12 @@ class OrderLineStar(Star):
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(spark)
         self.folder = folder.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._raw:  # opening a file set reads footers; do it once per star
+            self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._raw[name]
 
     def sales(self, *columns: str) -> DataFrame:
         """Order lines; the orders table is joined only for columns that come from it.  Every
