@@ -660,8 +660,8 @@ def operators() -> dict[str, str]:
                COUNT(CASE WHEN payment <> 'Cash' THEN 1 END) AS with_payment FROM fact GROUP BY 1""", "fact"),
         "channel:s net:d grossvalue:d with_payment:b")
     o["first_last_purchase"] = typed(star(
-        "SELECT customerid, MIN(datekey) AS first_key, MAX(datekey) AS last_key FROM sale GROUP BY 1", "sale"),
-        "customerid:b first_key:b last_key:b")
+        "SELECT customerid, MIN(datekey) AS first_datekey, MAX(datekey) AS last_datekey FROM sale GROUP BY 1", "sale"),
+        "customerid:b first_datekey:b last_datekey:b")
     o["channel_uplift"] = typed(star(f"""
         WITH g AS (SELECT channel, SUM(net) AS net, COUNT(*) AS lines FROM sale GROUP BY 1),
         x AS (SELECT *, {q('net', 'lines')} AS per_unit, (SELECT {q('net', 'lines')} FROM g WHERE channel = 'In-Store') AS base

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.measures import ratio
-from starmart.operators.ordered import SINGLE_TASK_ROWS, running_sums
+from starmart.operators.ordered import SINGLE_TASK_ROWS, fits_one_task, running_sums
 
 
 def allocate(
@@ -40,13 +40,17 @@ def allocate(
 
 
 def scale_to_target(lines: DataFrame, targets: DataFrame, key: str, value: str, target: str,
-                    name: str = "scaled", factor: str = "factor") -> DataFrame:
+                    name: str = "scaled", factor: str = "factor", max_keys: int | None = None) -> DataFrame:
     """Factor ``target / sum(value)`` per key put back on the lines, and the scaled value.
 
     The sums are aggregated and joined back: a window by key would gather a hot key's lines.
+    ``max_keys`` bounds the rows of ``targets``; when they are few the factors are broadcast
+    and the lines are not shuffled at all.
     """
     sums = lines.groupBy(key).agg(F.sum(value).alias("_sum"))
     factors = sums.join(targets.select(key, target), key).select(
         key, F.coalesce(ratio(target, "_sum"), F.lit(1.0)).alias(factor)
     )
+    if fits_one_task(max_keys):
+        factors = F.broadcast(factors)
     return lines.join(factors, key).withColumn(name, F.col(value).cast("double") * F.col(factor))

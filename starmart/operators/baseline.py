@@ -28,8 +28,8 @@ def with_baseline(
     """Put aggregates over the baseline rows beside every row of ``groups``.
 
     ``values`` maps a new column to a function that builds the aggregate from the condition a
-    row has to meet.  ``groups`` is an aggregate, so its few rows are what is read twice and
-    not the fact.
+    row has to meet.  Groups that are proven to be few take a window.  Otherwise they are
+    stored and the baseline is read back from them, so the fact is scanned once either way.
     """
     if fits_one_task(max_rows):
         everything = Window.partitionBy()

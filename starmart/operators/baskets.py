@@ -70,15 +70,29 @@ def _best(pairs: DataFrame, top: int) -> DataFrame:
     return pairs.orderBy(F.col("co_occurrence").desc(), "item_a", "item_b").limit(top)
 
 
+def _bounds(items: DataFrame) -> DataFrame:
+    """(item, bound): no pair of the item can occur more often than ``bound``.
+
+    In a basket, the line pairs of an item with any one partner number at most its own lines
+    times the largest line count of the basket.
+    """
+    return items.groupBy("item").agg(F.sum(F.col("n") * F.col("m")).alias("bound"))
+
+
+def _reaching(items: DataFrame, least: int) -> DataFrame:
+    """Without items all of whose pairs occur less than ``least`` times."""
+    keep = _bounds(items).filter(F.col("bound") >= least).select("item")
+    return items.join(keep, "item", "left_semi")
+
+
 def _candidates(items: DataFrame, top: int, block_items: int, seed_items: int) -> DataFrame:
     """Items that can still be part of a top pair.
 
-    In a basket, the pairs of item a with any one partner number at most ``n_a * m``; summed
-    over baskets that bounds every pair of a.  The exact counts among the best-bounded items
-    give a count the top list is sure to reach, and items bounded below it are out.  Items
-    that tie it stay, so the tie-break by item sees the same pairs.
+    The exact counts among the items with the largest bounds give a count the top list is
+    sure to reach, and items bounded below it are out.  Items that tie it stay, so the
+    tie-break by item sees the same pairs.
     """
-    bounds = items.groupBy("item").agg(F.sum(F.col("n") * F.col("m")).alias("bound"))
+    bounds = _bounds(items)
     seeds = bounds.orderBy(F.col("bound").desc(), "item").limit(seed_items).select("item")
     seeded = items.join(F.broadcast(seeds), "item", "left_semi")  # at most seed_items rows
     reached = _best(pair_counts(seeded, block_items), top).agg(
@@ -86,8 +100,7 @@ def _candidates(items: DataFrame, top: int, block_items: int, seed_items: int) -
     ).first()
     if reached["found"] < top:
         return items
-    keep = bounds.filter(F.col("bound") >= reached["least"]).select("item")
-    return items.join(keep, "item", "left_semi")
+    return _reaching(items, reached["least"])
 
 
 def pairs(
@@ -108,15 +121,12 @@ def pairs(
     """
     items, _ = materialize(basket_items(sales, basket, item))
     paired = items.filter("k > 1")
+    if min_support > 1:
+        paired = _reaching(paired, min_support)
     if top is not None:
-        expected = (
-            paired.groupBy("basket").agg(F.first("k").alias("k"))
-            .agg(
-                F.coalesce(F.sum(F.col("k").cast("double") * (F.col("k") - 1) / 2), F.lit(0.0)).alias("pairs"),
-                F.coalesce(F.sum("k"), F.lit(0)).alias("rows"),
-            ).first()
-        )
-        if expected["pairs"] > pairs_per_row * expected["rows"]:
+        # A basket of k items is k rows, each with (k - 1) / 2 of its pairs.
+        expected = paired.agg(F.sum(F.col("k") - 1).alias("ends"), F.count(F.lit(1)).alias("rows")).first()
+        if (expected["ends"] or 0) / 2 > pairs_per_row * expected["rows"]:
             paired = _candidates(paired, top, block_items, seed_items)
     counted = pair_counts(paired, block_items).filter(F.col("co_occurrence") >= min_support)
     all_baskets = items.agg(F.count_distinct("basket").alias("n")).scalar()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import measures as m
 from starmart.functions.banding import Banding
-from starmart.operators.ordered import SINGLE_TASK_ROWS, fits_one_task, global_ntile
+from starmart.operators.ordered import SINGLE_TASK_ROWS, global_ntile
 from starmart.sources.scratch import materialize
 
 
@@ -90,14 +90,28 @@ def recency(customers: DataFrame, dates: DataFrame, as_of: date, bands: Banding
     return out.drop("fulldate")
 
 
-def rfm(sales: DataFrame, product: DataFrame, dates: DataFrame, as_of: date, tiles: int = 5, **opts) -> DataFrame:
-    """Customers with recency, frequency, monetary value, margin, scores and segment."""
+def rfm(
+    sales: DataFrame,
+    product: DataFrame,
+    dates: DataFrame,
+    as_of: date,
+    tiles: int = 5,
+    partitions: int | None = None,
+    single_task_rows: int = SINGLE_TASK_ROWS,
+) -> DataFrame:
+    """Customers with recency, frequency, monetary value, margin, scores and segment.
+
+    The customers are stored once: three sorts follow, and their counted number, not an
+    assumption about the dimension, decides how the tiles are computed.
+    """
     base = recency(
         customer_summary(sales, product).filter(F.col("known_orders") > 0), dates, as_of
     ).select("customerid", "recency", F.col("orders").alias("frequency"), "monetary", "margin_total")
-    if not fits_one_task(opts.get("max_rows"), opts.get("single_task_rows", SINGLE_TASK_ROWS)):
-        base, _ = materialize(base)  # three sorts follow; scan the fact only once
-    return rfm_scores(base, tiles=tiles, **opts).withColumn("segment", rfm_segment())
+    stored, n = materialize(base)
+    scored = rfm_scores(
+        stored, tiles=tiles, max_rows=n, partitions=partitions, single_task_rows=single_task_rows
+    )
+    return scored.withColumn("segment", rfm_segment())
 
 
 def new_vs_returning(
@@ -126,9 +140,6 @@ def new_vs_returning(
     )
 
 
-def last_per_key(df: DataFrame, key: Sequence[str], value: str, name: str) -> DataFrame:
-    return df.groupBy(*key).agg(F.max(value).alias(name))
-
-
-def first_per_key(df: DataFrame, key: Sequence[str], value: str, name: str) -> DataFrame:
-    return df.groupBy(*key).agg(F.min(value).alias(name))
+def first_and_last(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
+    """Smallest and largest ``value`` per key as ``first_<value>`` and ``last_<value>``."""
+    return df.groupBy(*key).agg(F.min(value).alias(f"first_{value}"), F.max(value).alias(f"last_{value}"))

@@ -93,7 +93,6 @@ def promo_performance(star: Star) -> DataFrame:
             "base_revenue": lambda on: F.sum(F.when(on, F.col("all_revenue"))),
             "base_lines": lambda on: F.sum(F.when(on, F.col("lines"))),
         },
-        n_promos,
     )
     per_line = m.ratio("base_revenue", "base_lines")
     per_order = m.ratio("revenue", "num_transactions")
@@ -123,7 +122,7 @@ def customer_rfm_segments(star: Star) -> DataFrame:
     sales = star.sales(
         "customerid", "salesid", "datekey", "productid", "qty", "revenue", "isreturn"
     ).filter(m.is_sale())
-    scored = rfm(sales, star.product, star.date, star.as_of, max_rows=star.rows("dim_customer"))
+    scored = rfm(sales, star.product, star.date, star.as_of)
     pct = m.ratio("margin_total", "monetary").cast("decimal(28,10)")
     return scored.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customers"),
@@ -443,7 +442,6 @@ def promo_margin_efficiency(star: Star) -> DataFrame:
         promos,
         F.col("promoid") == 0,
         {f"base_{c}": (lambda on, c=c: F.sum(F.when(on, F.col(c)))) for c in ("revenue", "margin", "lines")},
-        n_promos,
     )
     base_basket, base_margin = m.ratio("base_revenue", "base_lines"), m.ratio("base_margin", "base_lines")
     basket, margin = m.ratio("revenue", "txn"), m.ratio("margin", "txn")

@@ -19,7 +19,7 @@ from starmart.operators.baskets import pairs
 from starmart.operators.cleaning import (
     dedup, dedup_rows, fill_defaults, refine, restricted,
 )
-from starmart.operators.customers import first_per_key, last_per_key, rfm
+from starmart.operators.customers import first_and_last, rfm
 from starmart.operators.keys import missing_keys, rows_with_orphans
 from starmart.operators.ordered import (
     global_ntile, occurrence_index, pareto_cutoff, quantiles, rank_by, row_numbers, running_share,
@@ -35,6 +35,11 @@ from starmart.sources.order_lines import OrderLineStar
 from starmart.sources.scratch import scratch_path
 
 
+def _ranges(star: OrderLineStar) -> int:
+    """Range partitions of the distributed forms here, so that even small inputs use several."""
+    return int(star.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def dedup_lines(star: OrderLineStar) -> DataFrame:
     """Latest shipped line per (order, line number)."""
     order = [F.desc("l_shipdate"), *map(F.col, ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))]
@@ -57,19 +62,19 @@ def income_bands(star: OrderLineStar) -> DataFrame:
 
 def order_value_deciles(star: OrderLineStar) -> DataFrame:
     orders = star.raw("orders").select("o_orderkey", "o_totalprice")
-    return global_ntile(orders, ["o_totalprice", "o_orderkey"], 10, "decile")
+    return global_ntile(orders, ["o_totalprice", "o_orderkey"], 10, "decile", partitions=_ranges(star))
 
 
 def order_positions(star: OrderLineStar) -> DataFrame:
     orders = star.raw("orders").select("o_orderkey", "o_totalprice")
-    return row_numbers(orders, [F.desc("o_totalprice"), "o_orderkey"], "position", "orders")
+    return row_numbers(orders, [F.desc("o_totalprice"), "o_orderkey"], "position", "orders", partitions=_ranges(star))
 
 
 def customer_rfm_scores(star: OrderLineStar) -> DataFrame:
     sales = star.sales(
         "customerid", "salesid", "datekey", "productid", "qty", "revenue", "isreturn"
     ).filter(m.is_sale())
-    return rfm(sales, star.product, star.date, star.as_of)
+    return rfm(sales, star.product, star.date, star.as_of, single_task_rows=0, partitions=_ranges(star))
 
 
 def _customer_revenue(star: OrderLineStar) -> DataFrame:
@@ -78,43 +83,46 @@ def _customer_revenue(star: OrderLineStar) -> DataFrame:
 
 
 def customer_running_share(star: OrderLineStar) -> DataFrame:
-    return running_share(_customer_revenue(star), "revenue", ties="rows", key=["customerid"])
+    return running_share(_customer_revenue(star), "revenue", ties="rows", key=["customerid"], partitions=_ranges(star))
 
 
 def quantity_running_share(star: OrderLineStar) -> DataFrame:
     """Order lines' quantities by customer: many equal values share one running total."""
     lines = star.sales("customerid", "isreturn").groupBy("customerid").agg(F.count(F.lit(1)).alias("line_count"))
-    return running_share(lines, "line_count")
+    return running_share(lines, "line_count", partitions=_ranges(star))
 
 
 def pareto_customers(star: OrderLineStar) -> DataFrame:
     """Smallest set of customers that makes 80% of revenue."""
-    return pareto_cutoff(_customer_revenue(star), "revenue", 0.8, key=["customerid"], include_crossing=True)
+    return pareto_cutoff(_customer_revenue(star), "revenue", 0.8, key=["customerid"], include_crossing=True,
+                         partitions=_ranges(star))
 
 
 def customers_ranked_by_lines(star: OrderLineStar) -> DataFrame:
     """Rank in the tier by number of lines, with ties."""
     lines = star.sales("customerid").groupBy("customerid").agg(F.count(F.lit(1)).alias("line_count"))
     tiers = star.customer.select("customerid", "tier")
-    return rank_by(lines.join(tiers, "customerid"), "line_count", ["tier"], name="rank_in_tier")
+    return rank_by(lines.join(tiers, "customerid"), "line_count", ["tier"], name="rank_in_tier",
+                   partitions=_ranges(star))
 
 
 def line_value_quantiles(star: OrderLineStar) -> DataFrame:
     """Quartiles over every order line."""
-    q = quantiles(star.raw("lineitem"), "l_extendedprice", {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    q = quantiles(star.raw("lineitem"), "l_extendedprice", {"q25": 0.25, "median": 0.5, "q75": 0.75},
+                  partitions=_ranges(star))
     return q.select(*[m.rounded(c, 6).alias(c) for c in q.columns])
 
 
 def name_occurrences(star: OrderLineStar) -> DataFrame:
     """Place of each product among products of one name."""
-    return occurrence_index(star.product.select("productid", "name"), ["name"], ["productid"])
+    return occurrence_index(star.product.select("productid", "name"), ["name"], ["productid"], partitions=_ranges(star))
 
 
 def daily_scale_factors(star: OrderLineStar) -> DataFrame:
     """Factor that brings each day's sales to the same target, applied to the lines."""
     lines = star.sales("datekey", "net", "isreturn").filter(m.is_sale())
     targets = star.date.select("datekey", F.lit(100000).cast("decimal(18,2)").alias("target"))
-    scaled = scale_to_target(lines, targets, "datekey", "net", "target")
+    scaled = scale_to_target(lines, targets, "datekey", "net", "target", max_keys=star.rows("dim_date"))
     return scaled.groupBy("datekey").agg(
         F.count(F.lit(1)).alias("lines"), F.max("factor").alias("factor"),
         m.rounded(F.sum(F.col("scaled").cast("decimal(28,10)")), 4).alias("scaled_total"))
@@ -123,7 +131,7 @@ def daily_scale_factors(star: OrderLineStar) -> DataFrame:
 def allocate_units(star: OrderLineStar) -> DataFrame:
     """100000 units over days in proportion to revenue."""
     days = star.sales("datekey", "net", "isreturn").filter(m.is_sale()).groupBy("datekey").agg(
-        F.sum("net").cast("decimal(18,2)").alias("revenue"))
+        F.sum("net").cast("decimal(18,2)").alias("revenue")).join(star.date.select("datekey"), "datekey")
     return allocate(days, "revenue", 100_000, "datekey", "units", max_rows=star.rows("dim_date"))
 
 
@@ -163,8 +171,7 @@ def refined_sales(star: OrderLineStar) -> DataFrame:
 
 def first_last_purchase(star: OrderLineStar) -> DataFrame:
     sales = star.sales("customerid", "datekey", "isreturn").filter(m.is_sale())
-    return first_per_key(sales, ["customerid"], "datekey", "first_key").join(
-        last_per_key(sales, ["customerid"], "datekey", "last_key"), "customerid")
+    return first_and_last(sales, ["customerid"], "datekey")
 
 
 def channel_uplift(star: OrderLineStar) -> DataFrame:

@@ -62,3 +62,9 @@ def test_single_line_baskets_have_no_pairs(spark):
 def test_lines_are_counted_not_products(spark):
     df = spark.createDataFrame([(1, 5), (1, 5), (1, 6)], "b int, i int")
     assert [r["co_occurrence"] for r in pairs(df, "b", "i").collect()] == [2]
+
+
+def test_support_pruning_is_exact(spark, rows):
+    co, _, _ = brute(rows)
+    got = pairs(spark.createDataFrame(rows, "b int, i int"), "b", "i", top=None, min_support=4).collect()
+    assert {(r["item_a"], r["item_b"]): r["co_occurrence"] for r in got} == {k: n for k, n in co.items() if n >= 4}

@@ -82,7 +82,7 @@ def test_rfm_scores(spark):
     star = tiny_star(spark, sales, customers=[{"customerid": c} for c in range(1, 11)])
     args = (star.sales("customerid", "salesid", "datekey", "productid", "qty", "revenue", "isreturn"),
             star.product, star.date, date(2023, 1, 31))
-    for opts in (dict(max_rows=10), dict(partitions=3)):
+    for opts in ({}, dict(partitions=3, single_task_rows=0)):
         got = by(rfm(*args, **opts), "customerid")
         for c in range(1, 11):
             tile = (c + 1) // 2
