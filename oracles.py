@@ -61,7 +61,8 @@ _CTES = {
         f"SELECT {_mapping(src.STORE)} FROM supplier JOIN nation ON s_nationkey = n_nationkey "
         f"JOIN region ON n_regionkey = r_regionkey {_special('dim_store')}"
     ),
-    "promo": f"SELECT {_mapping(src.PROMOTION)} FROM range(1, {src.PROMOTION_STEPS + 1}) g(i) {_special('dim_promotion')}",
+    "promo": f"SELECT {_mapping(src.PROMOTION)} FROM "
+             f"(SELECT DISTINCT {src.PROMOTION_STEP} AS i FROM lineitem) WHERE i <> 0 {_special('dim_promotion')}",
     "dates": f"""SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS datekey, d AS fulldate, year(d) AS year,
         quarter(d) AS quarternumber, 'Q' || quarter(d) AS quartername, month(d) AS monthnumber,
         monthname(d) AS monthname, isodow(d) AS weekdaynumber, dayname(d) AS weekdayname,
@@ -346,9 +347,15 @@ def reports() -> dict[str, str]:
         "products:b min_margin_pct:d max_margin_pct:d avg_margin_pct:d stdev_margin_pct:d q25_margin_pct:d "
         "median_margin_pct:d q75_margin_pct:d")
     o["r19_promotion_discounts"] = typed(star(f"""
-        SELECT MIN(discount_pct) AS min_discount_pct, MAX(discount_pct) AS max_discount_pct,
-               {q('SUM(discount_pct)', 'COUNT(discount_pct)')} AS avg_discount_pct FROM promo WHERE promoid > 0""", "promo"),
-        "min_discount_pct:d max_discount_pct:d avg_discount_pct:d")
+        SELECT COUNT(*) AS promotions, MIN(discount_pct) AS min_discount_pct, MAX(discount_pct) AS max_discount_pct,
+               {q('SUM(discount_pct)', 'COUNT(discount_pct)')} AS avg_discount_pct,
+               {r('stddev_samp(CAST(discount_pct AS DOUBLE))', 8)} AS stdev_discount_pct,
+               {r('quantile_cont(CAST(discount_pct AS DOUBLE), 0.25)', 8)} AS q25_discount_pct,
+               {r('quantile_cont(CAST(discount_pct AS DOUBLE), 0.5)', 8)} AS median_discount_pct,
+               {r('quantile_cont(CAST(discount_pct AS DOUBLE), 0.75)', 8)} AS q75_discount_pct
+        FROM promo WHERE promoid > 0""", "promo"),
+        "promotions:b min_discount_pct:d max_discount_pct:d avg_discount_pct:d stdev_discount_pct:d q25_discount_pct:d "
+        "median_discount_pct:d q75_discount_pct:d")
     o["r20_critical_nulls"] = typed(star(" UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls FROM fact"
         for c in ("hour", "returnreason", "promoid")), "fact"), "column_name:s nulls:b")

@@ -100,8 +100,8 @@ def literal_row(df: DataFrame, values: dict) -> DataFrame:
     return df.sparkSession.sql(f"SELECT {', '.join(cols)}")
 
 
-def with_special_members(df: DataFrame, spec: TableSpec, check: bool = True) -> DataFrame:
-    """Append the table's unknown and none members where they are missing.
+def missing_members(df: DataFrame, spec: TableSpec, check: bool = True) -> DataFrame:
+    """The table's unknown and none members that ``df`` does not hold.
 
     Only the special keys are looked up (a filter that reaches the scan), so asking does not
     shuffle the dimension.  ``check=False`` skips even that when they cannot be there.
@@ -113,8 +113,13 @@ def with_special_members(df: DataFrame, spec: TableSpec, check: bool = True) ->
     if check:
         keys = [r[spec.pk] for r in spec.special_rows]
         present = df.filter(F.col(spec.pk).isin(keys)).select(spec.pk)
-        members = members.join(present, spec.pk, "left_anti")
-    return df.unionByName(members)
+        members = members.join(present, spec.pk, "left_anti").select(df.columns)
+    return members
+
+
+def with_special_members(df: DataFrame, spec: TableSpec, check: bool = True) -> DataFrame:
+    """Append the missing special members."""
+    return df.unionByName(missing_members(df, spec, check))
 
 
 def restricted(df: DataFrame, store: DataFrame, region: str | None, admin: bool = False) -> DataFrame:

@@ -21,17 +21,20 @@ def orphan_keys(fact: DataFrame, refs: Refs) -> DataFrame:
     Each fact row is unpivoted to its keys and counted map side, so what is shuffled and
     joined is distinct keys, not fact rows, and a hot key is one row.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("long").alias("key")) for fk in refs]
+    # References go by number until the end: grouping by text would cost more per fact row.
+    keys = F.array(*[F.col(fk).cast("long") for fk in refs])
+    used = (
+        fact.select(F.posexplode(keys).alias("ref", "key"))
+        .groupBy("ref", "key").agg(F.count(F.lit(1)).alias("n"))
     )
-    used = fact.select(F.inline(pairs)).groupBy("fk", "key").agg(F.count(F.lit(1)).alias("n"))
     known = None
-    for fk, (dim, pk) in refs.items():
-        part = dim.select(F.lit(fk).alias("fk"), F.col(pk).cast("long").alias("key"))
+    for i, (dim, pk) in enumerate(refs.values()):
+        part = dim.select(F.lit(i).alias("ref"), F.col(pk).cast("long").alias("key"))
         known = part if known is None else known.unionByName(part)
     known = known.distinct().withColumn("_known", F.lit(1))
-    return used.join(known, ["fk", "key"], "left").select(
-        "fk", "key", "n", F.col("_known").isNull().alias("orphan")
+    names = F.array(*[F.lit(fk) for fk in refs])
+    return used.join(known, ["ref", "key"], "left").select(
+        names[F.col("ref")].alias("fk"), "key", "n", F.col("_known").isNull().alias("orphan")
     )
 
 

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.functions.measures import ratio
+from starmart.functions.measures import ratio, rounded
 from starmart.sources.scratch import materialize
 
 # Largest proven input for a window that runs in a single task (tens of MB of sort data).
@@ -281,6 +281,29 @@ def quantiles(
     return picked.select(*out)
 
 
+def exact_stddev(metric: str) -> Column:
+    """Sample deviation of a DECIMAL column from exact sums, independent of row order."""
+    n, s = F.count(metric).cast("double"), F.sum(metric).cast("double")
+    squares = F.sum(F.col(metric) * F.col(metric)).cast("double")
+    variance = F.try_divide(squares - s * s / n, F.nullif(n - 1, F.lit(0.0)))
+    return F.sqrt(F.greatest(variance, F.lit(0.0)))
+
+
+def distribution(df: DataFrame, metric: str, count_name: str = "n", **opts) -> DataFrame:
+    """One row: count, extremes, mean, sample deviation and quartiles of a DECIMAL column."""
+    stats = df.agg(
+        F.count(metric).alias(count_name),
+        F.min(metric).alias(f"min_{metric}"),
+        F.max(metric).alias(f"max_{metric}"),
+        ratio(F.sum(metric), F.count(metric)).alias(f"avg_{metric}"),
+        rounded(exact_stddev(metric), 8).alias(f"stdev_{metric}"),
+    )
+    parts = quantiles(df, metric, {"q25": 0.25, "median": 0.5, "q75": 0.75}, **opts)
+    return stats.select("*", *[
+        parts.select(rounded(c, 8).alias(c)).scalar().alias(f"{c}_{metric}") for c in ("q25", "median", "q75")
+    ])
+
+
 def occurrence_index(
     df: DataFrame,
     keys: Sequence[str],

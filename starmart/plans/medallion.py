@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.cleaning import dedup, quarantine, refine, with_special_members
+from starmart.operators.cleaning import dedup, missing_members, quarantine, refine, with_special_members
 from starmart.plans.marts import MARTS
 from starmart.schemas import TABLES
 from starmart.sources import catalog
@@ -62,6 +62,16 @@ def build_silver(spark: SparkSession, source: str = "bronze", target: str = "sil
     return out
 
 
+def ensure_special_members(spark: SparkSession, layer: str, name: str) -> int:
+    """Insert the unknown and none members a stored dimension lacks; rows inserted."""
+    stored, spec = spark.table(f"{layer}.{name}"), TABLES[name]
+    missing = missing_members(stored, spec)
+    n = missing.count()
+    if n:
+        catalog.append(missing, layer, name)
+    return n
+
+
 def build_gold(spark: SparkSession, source: str = "silver", target: str = "gold",
                as_of: date | None = None) -> list[tuple]:
     """Materialise the 17 marts with their descriptions."""

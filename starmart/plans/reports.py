@@ -13,7 +13,7 @@ from starmart.functions.formatting import format_report
 from starmart.operators.agg_join import aggregate_then_join
 from starmart.operators.customers import new_vs_returning as first_purchase_split
 from starmart.operators.keys import null_profile, orphans
-from starmart.operators.ordered import quantiles
+from starmart.operators.ordered import distribution
 from starmart.operators.series import centred_avg, drift, moving_avg
 from starmart.schemas import CHANNELS, FACT_SALES
 from starmart.sources.star import Star
@@ -162,38 +162,16 @@ def top_stores(star: Star, n: int = 10) -> DataFrame:
     return best.select("storeid", "storename", "revenue").orderBy(F.desc("revenue"), "storeid").limit(n)
 
 
-def _stddev_of_decimal(c: str):
-    """Sample deviation from exact sums of a 4-digit fraction, independent of row order."""
-    n, s = F.count(c).cast("double"), F.sum(c).cast("double")
-    squares = F.sum(F.col(c) * F.col(c)).cast("double")
-    variance = F.try_divide(squares - s * s / n, F.nullif(n - 1, F.lit(0.0)))
-    return F.sqrt(F.greatest(variance, F.lit(0.0)))
-
-
 def product_margin_distribution(star: Star) -> DataFrame:
     """Stored product margin: count, mean, deviation, quartiles, extremes."""
-    products = star.product.filter("productid > 0")
-    basic = products.agg(
-        F.count("margin_pct").alias("products"),
-        F.min("margin_pct").alias("min_margin_pct"),
-        F.max("margin_pct").alias("max_margin_pct"),
-        m.ratio(F.sum("margin_pct"), F.count("margin_pct")).alias("avg_margin_pct"),
-        m.rounded(_stddev_of_decimal("margin_pct"), 8).alias("stdev_margin_pct"),
-    )
-    parts = quantiles(
-        products, "margin_pct", {"q25": 0.25, "median": 0.5, "q75": 0.75}, max_rows=star.rows("dim_product")
-    )
-    cut = {c: m.rounded(F.col(c), 8).alias(f"{c}_margin_pct") for c in ("q25", "median", "q75")}
-    return basic.select("*", *[parts.select(e).scalar().alias(f"{c}_margin_pct") for c, e in cut.items()])
+    return distribution(
+        star.product.filter("productid > 0"), "margin_pct", "products", max_rows=star.rows("dim_product"))
 
 
 def promotion_discount_distribution(star: Star) -> DataFrame:
-    promos = star.promotion.filter("promoid > 0")
-    return promos.agg(
-        F.min("discount_pct").alias("min_discount_pct"),
-        F.max("discount_pct").alias("max_discount_pct"),
-        m.ratio(F.sum("discount_pct"), F.count("discount_pct")).alias("avg_discount_pct"),
-    )
+    """The same of promotion discounts, special members left out."""
+    return distribution(
+        star.promotion.filter("promoid > 0"), "discount_pct", "promotions", max_rows=star.rows("dim_promotion"))
 
 
 def critical_nulls(star: Star) -> DataFrame:

@@ -50,6 +50,11 @@ def publish(df: DataFrame, layer: str, name: str, comment: str | None = None, fi
     return seen.get["rows"]
 
 
+def publish_query(spark: SparkSession, query: str, layer: str, name: str, comment: str | None = None) -> int:
+    """Materialise a SQL query as a table."""
+    return publish(spark.sql(query), layer, name, comment)
+
+
 def append(df: DataFrame, layer: str, name: str) -> None:
     """Append by position to an existing table."""
     df.write.insertInto(f"{layer}.{name}")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from starmart.operators.calendar import calendar
 from starmart.operators.cleaning import with_special_members
 from starmart.schemas import MONEY, TABLES
+from starmart.sources.scratch import materialize
 from starmart.sources.star import Star
 
 _SIGN = "CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END"
@@ -50,7 +51,7 @@ FACT = {
     "productid": ("l_partkey + 1", False),
     "customerid": ("o_custkey + 1", True),
     "storeid": ("l_suppkey + 1", False),
-    "promoid": ("CAST(round(l_discount * 100) AS INT)", False),
+    "promoid": ("CAST(floor(l_discount * 100 + 0.5) AS INT)", False),
     "qty": ("CAST(l_quantity AS INT)", False),
     "unitprice": (f"CAST(floor(l_extendedprice / l_quantity) AS {MONEY})", False),
     "tax_rate": ("CAST(l_tax AS DECIMAL(10,4))", False),
@@ -167,8 +168,8 @@ STORE = {
     "annualrentcost": f"CAST(10000 + (s_suppkey * 53) % 9000 AS {MONEY})",
     "storesizemultiplier": f"CAST(CAST(5 + s_suppkey % 40 AS DECIMAL(4,0)) * {_TENTH} AS DECIMAL(10,4))",
 }
-# One row per discount step; ``promoid`` is the discount in percent, 0 is no promotion.
-PROMOTION_STEPS = 10
+# One row per discount that occurs; ``promoid`` is the discount in percent, 0 is no promotion.
+PROMOTION_STEP = "CAST(floor(l_discount * 100 + 0.5) AS INT)"
 PROMOTION = {
     "promoid": "CAST(i AS INT)",
     "promoname": "concat('Promo ', CAST(i AS VARCHAR(10)))",
@@ -244,8 +245,12 @@ class OrderLineStar(Star):
         return self._map(joined, STORE)
 
     def _promotions(self) -> DataFrame:
-        steps = self.spark.range(1, PROMOTION_STEPS + 1).withColumnRenamed("id", "i")
-        return self._map(steps, PROMOTION)
+        """Promotions from the discounts of all lines.  Stored once: the few rows then have a
+        known size and number, which an aggregate over the lines has not."""
+        steps = self.raw("lineitem").selectExpr(f"{PROMOTION_STEP} AS i").filter("i <> 0").distinct()
+        stored, n = materialize(self._map(steps, PROMOTION))
+        self._rows["dim_promotion"] = n + len(TABLES["dim_promotion"].special_rows)
+        return stored
 
     @cached_property
     def _span(self) -> tuple[date, date]:
@@ -261,10 +266,11 @@ class OrderLineStar(Star):
         """Upper bounds from the source tables: footers instead of derived rows."""
         if name not in self._rows:
             special = len(TABLES[name].special_rows)
+            if name == "dim_promotion":
+                self.table(name)  # counts them
+                return self._rows[name]
             if name == "dim_date":
                 n = (self._span[1] - self._span[0]).days + 1
-            elif name == "dim_promotion":
-                n = PROMOTION_STEPS
             else:
                 source = {"dim_product": "part", "dim_customer": "customer", "dim_store": "supplier",
                           "fact_sales": "lineitem"}[name]

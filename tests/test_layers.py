@@ -2,6 +2,7 @@
 
 import os
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from fixtures import VALID, table, tiny_star
@@ -45,6 +46,24 @@ def test_medallion_is_repeatable(spark, inputs):
     assert len(found) == 17 and "Revenue, cost and margin" in found["vw_001_product_category_margin"]
 
 
+def test_special_members_of_a_stored_table(spark):
+    catalog.ensure_namespaces(spark, ["members"])
+    catalog.publish(table(spark, "dim_promotion", [{"promoid": 3}]), "members", "dim_promotion")
+    assert medallion.ensure_special_members(spark, "members", "dim_promotion") == 2
+    assert medallion.ensure_special_members(spark, "members", "dim_promotion") == 0
+    assert {r[0] for r in spark.table("members.dim_promotion").select("promoid").collect()} == {-1, 0, 3}
+
+
+def test_pass_through_views_and_query_tables(spark):
+    catalog.ensure_namespaces(spark, ["v_src"])
+    for n in TABLES:
+        catalog.publish(table(spark, n, [{}] if n != "dim_date" else []), "v_src", n)
+    catalog.register_views(spark, "v_src", "v_")
+    assert spark.table("v_fact_sales").count() == 1
+    assert catalog.publish_query(spark, "SELECT sum(net) AS net FROM v_fact_sales", "v_src", "total") == 1
+    assert spark.table("v_src.total").first()[0] == Decimal("108.90")
+
+
 def test_a_failing_step_ends_the_run(spark):
     done = medallion.run([("a", lambda: 1), ("b", lambda: 1 / 0), ("c", lambda: 2)])
     assert [(s.name, s.status) for s in done] == [("a", "ok"), ("b", "failed")]
