@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -82,8 +83,6 @@ def drop(spark: SparkSession, layer: str, names: Iterable[str], kind: str = "TAB
 
 def listing(spark: SparkSession, layer: str, pattern: str | None = None, exclude: Sequence[str] = ()) -> list[tuple]:
     """(name, description) of the tables in a layer whose name matches a regular expression."""
-    import re
-
     found = [
         (t.name, t.description) for t in spark.catalog.listTables(layer)
         if not t.isTemporary and not any(x in t.name for x in exclude)

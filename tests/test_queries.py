@@ -21,7 +21,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, con):
-    assert differences(QUERIES[name](spark, SF), con, ORACLES[name]) == []
+    df = QUERIES[name](spark, SF)
+    assert differences(df, con, ORACLES[name]) == []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas"):
+        assert node not in plan
 
 
 def test_entry(spark):
