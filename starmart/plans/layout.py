@@ -1,8 +1,8 @@
 """Physical layout of stored tables: compaction, multi-column clustering, old snapshots.
 
-Delta tables use Delta's own OPTIMIZE and VACUUM.  Parquet tables are rewritten to a new
-snapshot folder, and the table's location is switched to it once the write is complete, so a
-failed or repeated run never leaves a half-written table.
+Delta tables use Delta's own OPTIMIZE and VACUUM.  Parquet tables, which ``catalog.publish``
+keeps in snapshot folders, are rewritten to a new snapshot, and the table's location is
+switched to it once the write is complete, so a failed run never leaves a half-written table.
 """
 
 from __future__ import annotations
@@ -67,15 +67,12 @@ def cluster(df: DataFrame, keys: Sequence[str], files: int, bits: int = CURVE_BI
     return keyed.repartitionByRange(files, "_curve", spread).sortWithinPartitions("_curve").drop("_curve")
 
 
-def _parquet_rewrite(spark: SparkSession, table: str, df: DataFrame) -> tuple[str, str]:
+def _parquet_rewrite(spark: SparkSession, table: str, df: DataFrame) -> None:
     """Write a new snapshot beside the current one and point the table at it."""
-    old = catalog.table_detail(spark, table)["location"]
-    base = old.rsplit("/snapshot-", 1)[0].rstrip("/")
-    new = f"{base}/snapshot-{time.time_ns()}"
+    new = catalog.snapshot_path(spark, *table.rsplit(".", 1))
     df.write.parquet(new)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     spark.catalog.refreshTable(table)
-    return old, new
 
 
 def _stored_bytes(spark: SparkSession, table: str) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,10 +30,20 @@ def ensure_namespaces(spark: SparkSession, names: Iterable[str] = LAYERS) -> Non
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}")
 
 
+def snapshot_path(spark: SparkSession, layer: str, name: str) -> str:
+    """A new folder for one version of a table's data."""
+    root = spark.catalog.getDatabase(layer).locationUri.rstrip("/")
+    return f"{root}/{name}/snapshot-{time.time_ns()}"
+
+
 def publish(df: DataFrame, layer: str, name: str, comment: str | None = None, files: int | None = None,
             max_records: int | None = None) -> int:
     """Replace table ``layer.name`` by ``df``, schema included; return the rows written.
 
+    Parquet data is written to a snapshot folder of its own first and the table pointed at it
+    afterwards, so a write that fails leaves the earlier table as it was (``layout.vacuum``
+    removes old snapshots).
+
     The count is observed while writing, so the lineage is not run a second time for it.
     The number of files follows the partitions AQE ends up with; ``files`` forces a number
     for small tables and ``max_records`` limits the size of one.
@@ -45,7 +56,13 @@ def publish(df: DataFrame, layer: str, name: str, comment: str | None = None, fi
     writer = observed.write.mode("overwrite").option("overwriteSchema", "true")
     if max_records is not None:
         writer = writer.option("maxRecordsPerFile", max_records)
-    writer.format("delta" if has_delta(spark) else "parquet").saveAsTable(f"{layer}.{name}")
+    if has_delta(spark):
+        writer.format("delta").saveAsTable(f"{layer}.{name}")
+    else:
+        path = snapshot_path(spark, layer, name)
+        writer.parquet(path)
+        spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")  # the old snapshot's files stay
+        spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet", schema=df.schema)
     if comment:
         describe(spark, f"{layer}.{name}", comment)
     return seen.get["rows"]

@@ -136,8 +136,22 @@ def test_clustering_rewrites_in_curve_order(spark):
     assert min(r[1] for r in spans) < 27 or min(r[2] for r in spans) < 49
     layout.optimize_table(spark, "lay.fact_sales", files=2)
     assert layout.vacuum(spark, "lay.fact_sales") == []  # younger than the retention
-    stale = layout.vacuum(spark, "lay.fact_sales", retention_hours=0, enabled=True)
-    assert len(stale) == 1 and spark.table("lay.fact_sales").count() == 600
+    assert len(layout.vacuum(spark, "lay.fact_sales", retention_hours=0)) == 2  # only told, not removed
+    assert len(layout.vacuum(spark, "lay.fact_sales", retention_hours=0, enabled=True)) == 2
+    assert layout.vacuum(spark, "lay.fact_sales", retention_hours=0) == []
+    assert spark.table("lay.fact_sales").count() == 600
+    # publishing again after maintenance replaces rows and schema
+    assert catalog.publish(facts.filter("salesid < 10").drop("hour"), "lay", "fact_sales") == 10
+    assert spark.table("lay.fact_sales").count() == 10 and "hour" not in spark.table("lay.fact_sales").columns
+    assert layout.optimize_table(spark, "lay.fact_sales", files=1)[1] == "clustered"
+
+
+def test_a_failed_write_keeps_the_earlier_data(spark):
+    catalog.ensure_namespaces(spark, ["lay"])
+    catalog.publish(spark.range(5), "lay", "kept")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        catalog.publish(spark.range(5).selectExpr("1 / (id - 3) AS x"), "lay", "kept")
+    assert spark.table("lay.kept").count() == 5
 
 
 def test_one_key_in_every_row_still_spreads(spark):
