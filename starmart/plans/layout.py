@@ -52,8 +52,9 @@ def morton_key(df: DataFrame, keys: Sequence[str], bits: int = CURVE_BITS) -> Da
     return df.withColumn("_curve", curve)
 
 
-def cluster(df: DataFrame, keys: Sequence[str], files: int, bits: int = CURVE_BITS) -> DataFrame:
-    """Rows in clustering order, spread over ``files`` range partitions.
+def cluster(df: DataFrame, keys: Sequence[str], files: int | None = None, bits: int = CURVE_BITS) -> DataFrame:
+    """Rows in clustering order, spread over ``files`` range partitions, or as many as
+    adaptive execution finds right for their size.
 
     A single column is sorted as it is.  The row hash behind the key lets rows with one and
     the same key spread over several partitions.
@@ -64,7 +65,9 @@ def cluster(df: DataFrame, keys: Sequence[str], files: int, bits: int = CURVE_BI
     else:
         keyed = morton_key(df, keys, bits)
     spread = F.xxhash64(*content)
-    return keyed.repartitionByRange(files, "_curve", spread).sortWithinPartitions("_curve").drop("_curve")
+    order = ("_curve", spread)
+    ranged = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
+    return ranged.sortWithinPartitions("_curve").drop("_curve")
 
 
 def _parquet_rewrite(spark: SparkSession, table: str, df: DataFrame) -> None:

@@ -1,6 +1,7 @@
 """The reusable operators, each applied to the whole of one or more tables.
 
-Calls that leave out ``max_rows`` run the distributed form of an operator on purpose.
+Calls that leave out ``max_rows`` run the distributed form of an operator on purpose; the
+number of range partitions is left to adaptive execution.
 """
 
 from __future__ import annotations
@@ -35,11 +36,6 @@ from starmart.sources.order_lines import OrderLineStar
 from starmart.sources.scratch import scratch_path
 
 
-def _ranges(star: OrderLineStar) -> int:
-    """Range partitions of the distributed forms here, so that even small inputs use several."""
-    return int(star.spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def dedup_lines(star: OrderLineStar) -> DataFrame:
     """Latest shipped line per (order, line number)."""
     order = [F.desc("l_shipdate"), *map(F.col, ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))]
@@ -62,19 +58,19 @@ def income_bands(star: OrderLineStar) -> DataFrame:
 
 def order_value_deciles(star: OrderLineStar) -> DataFrame:
     orders = star.raw("orders").select("o_orderkey", "o_totalprice")
-    return global_ntile(orders, ["o_totalprice", "o_orderkey"], 10, "decile", partitions=_ranges(star))
+    return global_ntile(orders, ["o_totalprice", "o_orderkey"], 10, "decile")
 
 
 def order_positions(star: OrderLineStar) -> DataFrame:
     orders = star.raw("orders").select("o_orderkey", "o_totalprice")
-    return row_numbers(orders, [F.desc("o_totalprice"), "o_orderkey"], "position", "orders", partitions=_ranges(star))
+    return row_numbers(orders, [F.desc("o_totalprice"), "o_orderkey"], "position", "orders")
 
 
 def customer_rfm_scores(star: OrderLineStar) -> DataFrame:
     sales = star.sales(
         "customerid", "salesid", "datekey", "productid", "qty", "revenue", "isreturn"
     ).filter(m.is_sale())
-    return rfm(sales, star.product, star.date, star.as_of, single_task_rows=0, partitions=_ranges(star))
+    return rfm(sales, star.product, star.date, star.as_of, single_task_rows=0)
 
 
 def _customer_revenue(star: OrderLineStar) -> DataFrame:
@@ -83,39 +79,36 @@ def _customer_revenue(star: OrderLineStar) -> DataFrame:
 
 
 def customer_running_share(star: OrderLineStar) -> DataFrame:
-    return running_share(_customer_revenue(star), "revenue", ties="rows", key=["customerid"], partitions=_ranges(star))
+    return running_share(_customer_revenue(star), "revenue", ties="rows", key=["customerid"])
 
 
 def quantity_running_share(star: OrderLineStar) -> DataFrame:
     """Order lines' quantities by customer: many equal values share one running total."""
     lines = star.sales("customerid", "isreturn").groupBy("customerid").agg(F.count(F.lit(1)).alias("line_count"))
-    return running_share(lines, "line_count", partitions=_ranges(star))
+    return running_share(lines, "line_count")
 
 
 def pareto_customers(star: OrderLineStar) -> DataFrame:
     """Smallest set of customers that makes 80% of revenue."""
-    return pareto_cutoff(_customer_revenue(star), "revenue", 0.8, key=["customerid"], include_crossing=True,
-                         partitions=_ranges(star))
+    return pareto_cutoff(_customer_revenue(star), "revenue", 0.8, key=["customerid"], include_crossing=True)
 
 
 def customers_ranked_by_lines(star: OrderLineStar) -> DataFrame:
     """Rank in the tier by number of lines, with ties."""
     lines = star.sales("customerid").groupBy("customerid").agg(F.count(F.lit(1)).alias("line_count"))
     tiers = star.customer.select("customerid", "tier")
-    return rank_by(lines.join(tiers, "customerid"), "line_count", ["tier"], name="rank_in_tier",
-                   partitions=_ranges(star))
+    return rank_by(lines.join(tiers, "customerid"), "line_count", ["tier"], name="rank_in_tier")
 
 
 def line_value_quantiles(star: OrderLineStar) -> DataFrame:
     """Quartiles over every order line."""
-    q = quantiles(star.raw("lineitem"), "l_extendedprice", {"q25": 0.25, "median": 0.5, "q75": 0.75},
-                  partitions=_ranges(star))
+    q = quantiles(star.raw("lineitem"), "l_extendedprice", {"q25": 0.25, "median": 0.5, "q75": 0.75})
     return q.select(*[m.rounded(c, 6).alias(c) for c in q.columns])
 
 
 def name_occurrences(star: OrderLineStar) -> DataFrame:
     """Place of each product among products of one name."""
-    return occurrence_index(star.product.select("productid", "name"), ["name"], ["productid"], partitions=_ranges(star))
+    return occurrence_index(star.product.select("productid", "name"), ["name"], ["productid"])
 
 
 def daily_scale_factors(star: OrderLineStar) -> DataFrame:
@@ -253,8 +246,7 @@ def clustered_sales(star: OrderLineStar) -> DataFrame:
     """All sales rewritten in multi-column clustering order and read back."""
     path = scratch_path(star.spark)
     facts = star.sales("datekey", "productid", "customerid", "salesid", "net")
-    files = int(star.spark.conf.get("spark.sql.shuffle.partitions"))
-    cluster(facts, FACT_SALES.cluster_by, files).write.parquet(path)
+    cluster(facts, FACT_SALES.cluster_by).write.parquet(path)
     stored = star.spark.read.parquet(path)
     return stored.groupBy("productid").agg(F.count(F.lit(1)).alias("lines"), F.sum("net").alias("net"))
 
