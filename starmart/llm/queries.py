@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import exact_dedup, packing, piece_codec, secret_scan, token_counts
+from starmart.llm import exact_dedup, packing, piece_codec, secret_scan, token_counts, toxicity
 from starmart.llm.common import documents
 
 
@@ -28,6 +28,10 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(piece_codec.encode_decode(documents(spark, sf_dir), model))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.find_secrets(documents(spark, sf_dir)))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_piece_codec": op5_piece_codec,
+    "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
 }
 
