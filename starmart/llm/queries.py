@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import exact_dedup, packing, piece_codec, secret_scan, token_counts, toxicity
+from starmart.llm import exact_dedup, fingerprints, packing, piece_codec, secret_scan, token_counts, toxicity
 from starmart.llm.common import documents
 
 
@@ -36,6 +36,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.find_secrets(documents(spark, sf_dir)))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digests(fingerprints.compare_with_next(documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_counts": op3_token_counts,
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_piece_codec": op5_piece_codec,
     "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
+    "op8_document_fingerprints": op8_document_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
