@@ -29,15 +29,16 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+def attach(rows: DataFrame, groups: DataFrame, key: str | list[str], weight: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with one row per ``key`` in ``groups``, where ``weight`` is how many rows a group has.
 
     A group with a thousandth of all rows or more is hot.  There are at most 1000 of these, so they are broadcast
     and their rows are never shuffled; all other groups meet in an ordinary shuffle join.  Both inputs are read
     twice and should be stored.
     """
+    keys = [key] if isinstance(key, str) else key
     is_hot = F.col(weight) * HOT_PARTS >= F.lit(total)
     hot, rest = F.broadcast(groups.where(is_hot)), groups.where(~is_hot)
-    return rows.join(hot, key).unionByName(
-        rows.join(hot.select(key), key, "left_anti").join(rest, key)
+    return rows.join(hot, keys).unionByName(
+        rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys)
     )

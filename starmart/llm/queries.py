@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import exact_dedup, fingerprints, language_id, packing, piece_codec, secret_scan, token_counts, toxicity
+from starmart.llm import exact_dedup, fingerprints, language_id, line_dedup, packing, piece_codec, secret_scan, token_counts, toxicity
 from starmart.llm.common import documents
 
 
@@ -40,6 +40,10 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digests(fingerprints.compare_with_next(documents(spark, sf_dir)))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(documents(spark, sf_dir)).drop("spans")
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
     "op8_document_fingerprints": op8_document_fingerprints,
+    "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }
 
