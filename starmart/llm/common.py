@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import starmart
 from starmart.sources.scratch import materialize
 
 HOT_PARTS = 1000
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
 
+PACKAGE = "starmart-package.zip"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if not any(f.endswith("/" + PACKAGE) for f in sc.listFiles):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(starmart.__file__)))
+        name = os.path.join(tempfile.mkdtemp(), PACKAGE)
+        sc.addPyFile(shutil.make_archive(name.removesuffix(".zip"), "zip", root, "starmart"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import exact_dedup, fingerprints, language_id, line_dedup, packing, piece_codec, secret_scan, token_counts, toxicity
+from starmart.llm import exact_dedup, fingerprints, language_id, line_dedup, ngram_join, packing, piece_codec, secret_scan, token_counts, toxicity
 from starmart.llm.common import documents
 
 
@@ -15,6 +15,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(documents(spark, sf_dir)).drop("class_size")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -50,6 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_piece_codec": op5_piece_codec,
