@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import ASCII_SPACE, attach, shuffle_width, stored, text_of
@@ -226,3 +226,19 @@ def dedup(docs: DataFrame) -> DataFrame:
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256", "first_rows",
     )
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they are: of equal texts the one with the smallest ``doc_id``."""
+    named = docs.withColumn("_digest", F.sha2(F.regexp_replace(text_of(docs), ASCII_SPACE, " "), 256))
+    verdict = stored(dedup(docs))
+    same = named["_digest"].eqNullSafe(F.col("_d")) & named["doc_id"].cast("long").eqNullSafe(F.col("_i"))
+
+    def keys(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("text_sha256").alias("_d"), F.col("doc_id").alias("_i")).distinct()
+
+    gone, repeated = keys(verdict.where("not kept")), keys(verdict.where("kept and first_rows > 1"))
+    single = named.join(gone.unionByName(repeated), same, "left_anti")
+    nth = F.row_number().over(Window.partitionBy("_digest", "doc_id").orderBy(F.lit(1)))
+    first = named.join(repeated, same, "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    return single.unionByName(first).drop("_digest")

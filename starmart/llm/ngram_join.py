@@ -330,3 +330,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
     together = attach(narrow.where("able"), groups, "mark", "class_size", narrow.count())
     alone = narrow.where("not able").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"))
     return together.select("doc_id", "n_shingles", "component_id", "class_size").unionByName(alone)
+
+
+def keep_one_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they are: of each component those with its smallest ``doc_id``.
+    A row without an id cannot be named as a copy and stays."""
+    gone = link_documents(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
