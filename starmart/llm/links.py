@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import stored
@@ -48,52 +48,62 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
 
 
-def linked_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_components(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], extras: tuple[str, ...] = (),
+    possible: Callable[[str, str], Column] | None = None, prefer: str | None = None,
+) -> DataFrame:
     """(node, component) of all nodes that are linked with another.
 
-    ``members`` has key and node (bigint); ``verify`` takes distinct pairs (a, b), a < b, and returns those that are
-    linked.
+    ``members`` has key, node (bigint) and the columns ``extras``.  ``verify`` takes distinct pairs (a, b), a < b, and
+    returns those that are linked.  ``possible`` gives the condition under which two members of a key may be linked on
+    account of it, from the names of two structs of node and extras; a linked pair must pass it at one of its keys.
+    Leaders of the first round have the least ``prefer``.
     """
-    groups = members.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-    shared = stored(members.join(groups.where("leader < last"), "key").select("key", "node", "leader"))
-    open_members = shared.select("key", "node", F.col("node").alias("component"), "leader")
+    one = F.struct("node", *extras)
+
+    def admitted(rows: DataFrame) -> DataFrame:
+        able = rows.where(possible("x", "y")) if possible else rows
+        return able.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+    groups = members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"),
+                                        F.min_by(one, F.struct(prefer or "node", "node")).alias("y"))
+    open_members = stored(members.join(groups.where("low < high"), "key").select(
+        "key", one.alias("x"), "y", F.col("node").alias("component"), F.col("y.node").alias("its")
+    ))
     tried = links = parts = None
     for turn in range(1, LEADER_ROUNDS + 2):
         if turn <= LEADER_ROUNDS:
-            pairs = open_members.where("node <> leader").select("node", "leader")
+            pairs = open_members.where("component <> its").select("x", "y")
         else:
             often = open_members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-            main = often.groupBy("key").agg(F.max_by("component", "n").alias("main"))
+            main = often.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
             rest = open_members.join(main, "key").where("component <> main").select(
-                "key", F.col("node").alias("leader"), F.col("component").alias("other")
+                "key", F.col("x").alias("y"), F.col("component").alias("other")
+            )
+            apart = F.col("component") != F.col("other")
+            pairs = open_members.select("key", "x", "component").join(rest, "key").where(
+                apart & possible("x", "y") if possible else apart
             )
-            pairs = open_members.select("key", "node", "component").join(rest, "key").where("component <> other")
-        pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+        pairs = admitted(pairs)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs)
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = stored(verify(pairs))
         links = found if links is None else links.unionByName(found)
+        if parts is None or found.take(1):
+            parts = stored(connected(links))
         if turn > LEADER_ROUNDS:
-            return connected(links) if parts is None or found.take(1) else parts
-        parts = stored(connected(links)) if parts is None or found.take(1) else parts
-        placed = shared.select("key", "node").join(parts, "node", "left").select(
-            "key", "node", F.coalesce("component", "node").alias("component")
+            return parts
+        own = parts.select(F.col("node").alias("_node"), F.col("component").alias("_own"))
+        placed = open_members.select("key", "x").join(own, F.col("x.node") == F.col("_node"), "left").select(
+            "key", "x", F.coalesce("_own", "x.node").alias("component")
         )
         still = placed.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("leader"),
-        ).where("low < high")
-        open_members = stored(placed.join(still.select("key", "leader"), "key").select("key", "node", "component", "leader"))
-        shared = open_members
+            F.min_by(F.struct("x", "component"), F.xxhash64("x.node", F.lit(turn))).alias("leader"),
+        ).where("low < high").select("key", F.col("leader.x").alias("y"), F.col("leader.component").alias("its"))
+        open_members = stored(placed.join(still, "key").select("key", "x", "y", "component", "its"))
         if not open_members.take(1):
             return parts
-        if turn < LEADER_ROUNDS:
-            where = open_members.join(
-                parts.select(F.col("node").alias("leader"), F.col("component").alias("its")), "leader", "left"
-            )
-            open_members = where.where(F.col("component") != F.coalesce("its", "leader")).select(
-                "key", "node", "component", "leader"
-            )
     raise AssertionError("the last round returns")

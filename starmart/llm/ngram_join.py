@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import attach, shuffle_width, stored, text_of
@@ -240,19 +240,32 @@ def _order_keys(shared: bytes, often: bytes) -> np.ndarray:
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
-    """(key, node): the n-grams of which linked classes have one in common."""
+    """(key, node, room, size): the n-grams of which linked classes have one in common, how many n-grams the class has from
+    there on in the global order, and in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, nodes = [np.zeros(0, "int64")], [np.zeros(0, "int64")]
+            keys, nodes, rooms, sizes = ([np.zeros(0, "int64")] for _ in range(4))
             for node, n, shared in zip(*(batch.column(c).to_pylist() for c in ("node", "n_shingles", "shared")), strict=True):
                 own = np.frombuffer(shared, "<i8")
                 first = n - -(-SIMILAR * n // 100) + 1 - (n - len(own))  # n-grams of one document stand before all others
                 keys.append(own[: max(first, 0)])
                 nodes.append(np.full(len(keys[-1]), node))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes)], ["key", "node"])
+                rooms.append(np.arange(len(own), len(own) - len(keys[-1]), -1))
+                sizes.append(np.full(len(keys[-1]), n))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x)) for x in (keys, nodes, rooms, sizes)], ["key", "node", "room", "size"]
+            )
+
+    return classes.select("node", "n_shingles", "shared").mapInArrow(run, "key long, node long, room long, size long")
 
-    return classes.select("node", "n_shingles", "shared").mapInArrow(run, "key long, node long")
+
+def _possible(x: str, y: str) -> Column:
+    """At the first n-gram that two linked sets have in common, both have as many left as the overlap must be."""
+    room, size = F.least(f"{x}.room", f"{y}.room"), F.col(f"{x}.size") + F.col(f"{y}.size")
+    return (room * (100 + SIMILAR) >= size * SIMILAR) & (
+        F.least(f"{x}.size", f"{y}.size") * 100 >= F.greatest(f"{x}.size", f"{y}.size") * SIMILAR
+    )
 
 
 def fragment_cuts(classes: DataFrame) -> list[int]:
@@ -320,7 +333,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
     ).select(F.monotonically_increasing_id().alias("node"), "mark", "first_id", "class_size", "n_shingles", "own.shared", "own.often"))
     sizes = classes.select("node", "n_shingles")
     parts = stored(segments(classes, fragment_cuts(classes)))
-    linked = linked_components(prefixes(classes), lambda pairs: linked_pairs(pairs, sizes, parts))
+    keys = prefixes(classes).withColumn("lack", F.col("size") - F.col("room"))
+    linked = linked_components(
+        keys, lambda pairs: linked_pairs(pairs, sizes, parts), ("room", "size"), _possible, "lack"
+    )
     placed = classes.select("node", "mark", "first_id", "class_size").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
