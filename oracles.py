@@ -514,8 +514,9 @@ def quality(min_date: str) -> dict[str, str]:
                COUNT(*) FILTER (WHERE status = 'WARN') AS warnings, COUNT(*) FILTER (WHERE status = 'FAIL') AS failures
         FROM ({rules}) GROUP BY 1""", *every), "table_name:s total_checks:b passed:b warnings:b failures:b")
     o["dq_verdict"] = typed(star(f"""
-        SELECT bool_or(status = 'FAIL') AS has_failures, CASE WHEN bool_or(status = 'FAIL') THEN 'FAILED' ELSE 'PASSED' END
-          AS verdict FROM ({rules})""", *every), "has_failures:x verdict:s")
+        SELECT bool_or(status = 'FAIL') AS has_failures, bool_or(status = 'WARN') AS has_warnings,
+          CASE WHEN bool_or(status = 'FAIL') THEN 'FAILED' WHEN bool_or(status = 'WARN') THEN 'WARNINGS' ELSE 'PASSED' END
+          AS verdict FROM ({rules})""", *every), "has_failures:x has_warnings:x verdict:s")
     o["dq_table_counts"] = typed(star(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {c}" for t, c in _CTE_OF.items()), *every),
         "table_name:s row_count:b")
@@ -691,7 +692,7 @@ def operators() -> dict[str, str]:
         t AS (SELECT *, CAST((g - di) * tax_rate AS DECIMAL(18,2)) AS tx FROM d)
         SELECT category, SUM({sg} * g) AS grossvalue, SUM({sg} * di) AS discountamount, SUM({sg} * tx) AS taxamount,
                SUM({sg} * (g - di + tx)) AS net,
-               SUM(CASE WHEN channel = 'Online' THEN CAST(weight * qty * CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(18,2)) ELSE 0 END)
+               SUM(CASE WHEN channel IN ('Online', 'Mobile App') AND isreturn = 0 THEN CAST(weight * qty * CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(18,2)) ELSE 0 END)
                  AS shipcost,
                COUNT(CASE WHEN di <> 0 THEN 1 END) AS discounted, SUM(LEAST(GREATEST(qty, 5), 40)) AS clipped_qty
         FROM t GROUP BY 1""", "fact", "product", "promo"),

@@ -9,11 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def bucketize(col: str | Column, edges: Sequence, labels: Sequence, right: bool = True) -> Column:
+def bucketize(col: str | Column, edges: Sequence, labels: Sequence, right: bool = True,
+              else_last: bool = False) -> Column:
     """Label ``col`` by inner ``edges``; one more label than edges.
 
     ``right=True`` puts a value equal to an edge in the lower band, ``right=False`` in the
-    upper one.  NULL stays NULL.
+    upper one.  NULL stays NULL, or takes the last label with ``else_last``, as a CASE that ends in ELSE does.
     """
     if len(labels) != len(edges) + 1:
         raise ValueError("need exactly one more label than edges")
@@ -22,7 +23,7 @@ def bucketize(col: str | Column, edges: Sequence, labels: Sequence, right: bool
     for edge, label in zip(edges, labels):
         hit = c <= F.lit(edge) if right else c < F.lit(edge)
         band = F.when(hit, F.lit(label)) if band is None else band.when(hit, F.lit(label))
-    return band.when(c.isNotNull(), F.lit(labels[-1]))
+    return band.otherwise(F.lit(labels[-1])) if else_last else band.when(c.isNotNull(), F.lit(labels[-1]))
 
 
 @dataclass(frozen=True)
@@ -30,20 +31,21 @@ class Banding:
     edges: tuple
     labels: tuple
     right: bool = True
+    else_last: bool = False
 
     def of(self, col: str | Column) -> Column:
-        return bucketize(col, self.edges, self.labels, self.right)
+        return bucketize(col, self.edges, self.labels, self.right, self.else_last)
 
     def ordinal(self, col: str | Column) -> Column:
         """Position of the band, for sorting reports by band and not by label."""
-        return bucketize(col, self.edges, tuple(range(1, len(self.labels) + 1)), self.right)
+        return bucketize(col, self.edges, tuple(range(1, len(self.labels) + 1)), self.right, self.else_last)
 
 
 # Band edges and labels of the published reports.
-DELIVERY_SPEED = Banding((2, 5), ("Fast (1-2 days)", "Standard (3-5 days)", "Long (>5 days)"))
-DELIVERY_SPEED_SHORT = Banding((2, 5), ("Fast (1-2)", "Normal (3-5)", "Slow (6+)"))
+DELIVERY_SPEED = Banding((2, 5), ("Fast (1-2 days)", "Standard (3-5 days)", "Long (>5 days)"), else_last=True)
+DELIVERY_SPEED_SHORT = Banding((2, 5), ("Fast (1-2)", "Normal (3-5)", "Slow (6+)"), else_last=True)
 PRICE_TIER = Banding(
-    (50, 200, 500), ("Budget (<50)", "Mid (50-200)", "Premium (200-500)", "Luxury (500+)"), right=False
+    (50, 200, 500), ("Budget (<50)", "Mid (50-200)", "Premium (200-500)", "Luxury (500+)"), right=False, else_last=True
 )
 RECENCY = Banding(
     (30, 90, 180),

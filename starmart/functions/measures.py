@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starmart.schemas import SHIPPED_CHANNELS
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -88,13 +90,14 @@ def nonzero_flag(x, digits: int = 2) -> Column:
 
 
 def line_amounts(qty="qty", price="unitprice", discount_pct="discount_pct", tax_rate="tax_rate",
-                 weight="weight", channel="channel", ship_rate=0.5) -> dict[str, Column]:
-    """The money columns of one sales line before any return sign is applied."""
+                 weight="weight", channel="channel", returned="isreturn", ship_rate=0.5) -> dict[str, Column]:
+    """The money columns of one sales line before any return sign is applied.  Lines of the shipped channels cost
+    shipping, unless they are returned."""
     gross = (_c(qty) * _c(price)).cast("decimal(18,2)")
     discount = (gross * _c(discount_pct)).cast("decimal(18,2)")
     tax = ((gross - discount) * _c(tax_rate)).cast("decimal(18,2)")
     shipping = F.when(
-        _c(channel) == "Online", _c(weight) * _c(qty) * F.lit(ship_rate).cast("decimal(4,2)")
+        _c(channel).isin(SHIPPED_CHANNELS) & (_c(returned) != 1), _c(weight) * _c(qty) * F.lit(ship_rate).cast("decimal(4,2)")
     ).otherwise(F.lit(0))
     return {
         "grossvalue": gross,

@@ -23,14 +23,15 @@ def allocate(
     Every group gets the floor of its proportional share and the units left over go, one
     each, to the groups with the largest weight (``key`` breaks ties).  ``weight`` is an
     integer or decimal and not negative; the division is exact, so the floors never add up
-    to more than ``total``.
+    to more than ``total``.  If all weights are zero the groups share equally.
     """
     opts = dict(max_rows=max_rows, single_task_rows=single_task_rows)
     weighed = df.withColumn("_one", F.lit(1).cast("long"))
     placed = running_sums(weighed, [F.col(weight).desc(), F.col(key)], {"_rn": "_one", "_w": weight}, **opts)
     floored = placed.withColumn(
         "_floor",
-        F.expr(f"(cast({total} as decimal(18,0)) * cast({weight} as decimal(18,2))) div _w_total"),
+        F.expr(f"""CASE WHEN coalesce(_w_total, 0) = 0 THEN cast({total} as bigint) div _rn_total
+            ELSE (cast({total} as decimal(18,0)) * cast({weight} as decimal(18,2))) div nullif(_w_total, 0) END"""),
     )
     summed = running_sums(floored, [F.col(weight).desc(), F.col(key)], {"_f": "_floor"}, **opts)
     left = F.lit(total) - F.col("_f_total")

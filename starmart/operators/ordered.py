@@ -49,18 +49,13 @@ def _range_sorted(df: DataFrame, order: Sequence[Column], partitions: int | None
 
 
 def _offsets(totals: DataFrame, sums: Sequence[str], within: Sequence[str]) -> DataFrame:
-    """Sum of earlier partitions per group.  ``totals`` has a row per (partition, group), and
-    since groups are contiguous in the order, a group spans few partitions."""
+    """Sum of earlier partitions per group, NULL where nothing was summed.  ``totals`` has a row per (partition,
+    group), and since groups are contiguous in the order, a group spans few partitions."""
     w = Window.partitionBy(*within).orderBy("_part")
     return totals.select(
         "_part",
         *within,
-        *[
-            F.coalesce(F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(
-                f"_before_{s}"
-            )
-            for s in sums
-        ],
+        *[F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_before_{s}") for s in sums],
         *[F.sum(s).over(Window.partitionBy(*within)).alias(f"_all_{s}") for s in sums],
     )
 
@@ -91,18 +86,27 @@ def running_sums(
     ranged = _range_sorted(df, [*map(F.col, within), *order], partitions)
     cols = sorted(set(sums.values()))
     totals = ranged.groupBy("_part", *within).agg(*[F.sum(c).alias(c) for c in cols])
-    offsets = _offsets(totals, cols, within)
+    offsets = _offsets(totals, cols, within).withColumnsRenamed({c: f"_k_{c}" for c in ["_part", *within]})
     if not within:
         offsets = F.broadcast(offsets)  # one row per range partition
+    same = F.col("_part") == F.col("_k__part")
+    for c in within:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))  # rows of a NULL group are a group
+
+    def onward(before: str, local: str) -> Column:
+        """The window's sum: NULL only as long as nothing but NULLs was met."""
+        b, own = F.col(before), F.col(local)
+        return F.when(b.isNull(), own).when(own.isNull(), b).otherwise(b + own)
+
     local = Window.partitionBy("_part", *within).orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, 0
     )
     return (
         ranged.withColumns({f"_local_{a}": F.sum(c).over(local) for a, c in sums.items()})
-        .join(offsets, ["_part", *within])
+        .join(offsets, same)
         .select(
             *df.columns,
-            *[(F.col(f"_before_{c}") + F.col(f"_local_{a}")).alias(a) for a, c in sums.items()],
+            *[onward(f"_before_{c}", f"_local_{a}").alias(a) for a, c in sums.items()],
             *[F.col(f"_all_{c}").alias(f"{a}_total") for a, c in sums.items()],
         )
     )
@@ -127,7 +131,7 @@ def row_numbers(
     offsets = F.broadcast(_offsets(sizes, ["n"], ()))  # one row per range partition
     extra = [F.col("_all_n").alias(total)] if total else []
     return ranged.join(offsets, "_part").select(
-        *df.columns, (F.col("_before_n") + F.col("_pos") + 1).alias(name), *extra
+        *df.columns, (F.coalesce("_before_n", F.lit(0)) + F.col("_pos") + 1).alias(name), *extra
     )
 
 
@@ -258,13 +262,12 @@ def quantiles(
     partitions: int | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """One row of exact, linearly interpolated quantiles of a numeric column (NULLs skipped)."""
+    """One row of exact, linearly interpolated quantiles of a numeric column (NULLs skipped).  One formula for every
+    size: only the running counts below are taken by a plain window where the rows are proven few."""
     values = df.select(F.col(metric).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    if fits_one_task(max_rows, single_task_rows):
-        return values.agg(*[F.percentile("_v", F.lit(p)).alias(a) for a, p in probs.items()])
     counts = values.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
     cum = running_sums(
-        counts, ["_v"], {"_upto": "_n"}, partitions=partitions, single_task_rows=single_task_rows
+        counts, ["_v"], {"_upto": "_n"}, max_rows=max_rows, partitions=partitions, single_task_rows=single_task_rows
     )
     picks = []
     for alias, p in probs.items():
@@ -281,12 +284,9 @@ def quantiles(
     return picked.select(*out)
 
 
-def exact_stddev(metric: str) -> Column:
-    """Sample deviation of a DECIMAL column from exact sums, independent of row order."""
-    n, s = F.count(metric).cast("double"), F.sum(metric).cast("double")
-    squares = F.sum(F.col(metric) * F.col(metric)).cast("double")
-    variance = F.try_divide(squares - s * s / n, F.nullif(n - 1, F.lit(0.0)))
-    return F.sqrt(F.greatest(variance, F.lit(0.0)))
+def sample_stddev(metric: str) -> Column:
+    """Sample deviation, by Spark's stable update; the caller rounds, as its last digits depend on the row order."""
+    return F.stddev_samp(F.col(metric).cast("double"))
 
 
 def distribution(df: DataFrame, metric: str, count_name: str = "n", **opts) -> DataFrame:
@@ -296,7 +296,7 @@ def distribution(df: DataFrame, metric: str, count_name: str = "n", **opts) -> D
         F.min(metric).alias(f"min_{metric}"),
         F.max(metric).alias(f"max_{metric}"),
         ratio(F.sum(metric), F.count(metric)).alias(f"avg_{metric}"),
-        rounded(exact_stddev(metric), 8).alias(f"stdev_{metric}"),
+        rounded(sample_stddev(metric), 8).alias(f"stdev_{metric}"),
     )
     parts = quantiles(df, metric, {"q25": 0.25, "median": 0.5, "q75": 0.75}, **opts)
     return stats.select("*", *[

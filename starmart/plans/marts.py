@@ -8,6 +8,8 @@ dropped by the inner joins, as published.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -140,7 +142,7 @@ def returns_analysis(star: Star) -> DataFrame:
     grouped = returns.groupBy("channel", "returnreason").agg(
         F.count(F.lit(1)).alias("return_count"),
         F.sum("shipcost").alias("total_shipping_cost_returns"),
-        m.ratio(F.sum(m.revenue()), F.count(F.lit(1))).alias("avg_return_value"),
+        m.ratio(F.sum(m.revenue()), F.count(m.revenue())).alias("avg_return_value"),
     )
     return share(grouped, "return_count", ["channel"], "pct_of_channel_returns", 4)
 
@@ -213,13 +215,12 @@ def store_performance_by_region_type(star: Star) -> DataFrame:
         star.sales("storeid", "customerid", "isreturn").filter(m.is_sale())
         .groupBy("storeid").agg(F.count_distinct("customerid").alias("buyers"))
     )
-    n = F.count(F.lit(1))
     return (
         star.store.join(money, "storeid").join(buyers, "storeid")
         .groupBy("region", F.col("type").alias("store_type"))
         .agg(
             m.ratio(F.sum("storerating"), F.count("storerating"), 2).alias("avg_rating"),
-            m.ratio(F.sum("sizem2"), n, 2).alias("avg_size_m2"),
+            m.ratio(F.sum("sizem2"), F.count("sizem2"), 2).alias("avg_size_m2"),
             m.ratio(F.sum("storesizemultiplier"), F.count("storesizemultiplier"), 4).alias("avg_size_multiplier"),
             F.sum("revenue").alias("total_revenue"),
             F.sum("margin").alias("total_margin"),
@@ -262,7 +263,8 @@ def delivery_speed_impact(star: Star) -> DataFrame:
     return aggregate_then_join(
         sales,
         "productid",
-        {"lines": F.count(F.lit(1)), "returned": m.returns_count(), "value": F.sum(m.revenue())},
+        {"lines": F.count(F.lit(1)), "returned": m.returns_count(), "value": F.sum(m.revenue()),
+         "valued": F.count(m.revenue())},
         star.product.select("productid", "category"),
         keys=["channel", "delivery_speed"],
         then_by=["channel", "category", "delivery_speed"],
@@ -270,22 +272,35 @@ def delivery_speed_impact(star: Star) -> DataFrame:
             "total_orders": n,
             "returns": F.sum("returned"),
             "return_rate": m.ratio(F.sum("returned"), n, 4),
-            "avg_order_value": m.ratio(F.sum("value"), n),
+            "avg_order_value": m.ratio(F.sum("value"), F.sum("valued")),
         },
     )
 
 
 def warranty_eco_impact(star: Star) -> DataFrame:
-    """Product flags against quantity, revenue and returns; returns are part of it."""
-    sales = star.sales("productid", "customerid", "qty", "revenue", "isreturn")
-    flags = star.product.select("productid", "haswarranty", "ecofriendly")
-    n = F.count(F.lit(1))
-    return sales.join(flags, "productid").groupBy("haswarranty", "ecofriendly").agg(
-        m.ratio(F.sum("qty"), n).alias("avg_qty_per_transaction"),
-        m.ratio(F.sum(m.revenue()), n).alias("avg_revenue"),
-        m.ratio(m.returns_count(), n, 4).alias("return_rate"),
-        F.count_distinct("customerid").alias("unique_buyers"),
+    """Product flags against quantity, revenue and returns; returns are part of it.
+
+    Sums per product meet the product's flags; buyers, being a distinct count, have a narrow branch of their own.
+    """
+    keys = ["haswarranty", "ecofriendly"]
+    flags = star.product.select("productid", *keys)
+    sums = aggregate_then_join(
+        star.sales("productid", "qty", "revenue", "isreturn"),
+        "productid",
+        {"lines": F.count(F.lit(1)), "qty": F.sum("qty"), "counted": F.count("qty"), "value": F.sum(m.revenue()),
+         "valued": F.count(m.revenue()), "returned": m.returns_count()},
+        flags,
+        then_by=keys,
+        then={
+            "avg_qty_per_transaction": m.ratio(F.sum("qty"), F.sum("counted")),
+            "avg_revenue": m.ratio(F.sum("value"), F.sum("valued")),
+            "return_rate": m.ratio(F.sum("returned"), F.sum("lines"), 4),
+        },
     )
+    pairs_sold = star.sales("productid", "customerid").distinct()
+    buyers = pairs_sold.join(flags, "productid").groupBy(*keys).agg(F.count_distinct("customerid").alias("unique_buyers"))
+    same = reduce(and_, [sums[k].eqNullSafe(buyers[k]) for k in keys])
+    return sums.join(buyers, same).select(sums["*"], "unique_buyers")
 
 
 def hourly_sales_margin(star: Star) -> DataFrame:
@@ -359,20 +374,24 @@ def delivery_speed_impact_detailed(star: Star) -> DataFrame:
         .filter(F.col("channel").isin(SHIPPED_CHANNELS) & (F.col("deliverydays") > 0))
         .withColumn("delivery_speed", banding.DELIVERY_SPEED_SHORT.of("deliverydays"))
     )
-    n = F.sum("lines")
+    n, whole = F.sum("lines"), m.revenue().isNotNull() & F.col("qty").isNotNull()
     stats = aggregate_then_join(
         sales,
         "productid",
-        _sums(lines=F.count(F.lit(1)), returned=m.returns_count(), ship=F.sum("shipcost")),
+        _sums(lines=F.count(F.lit(1)), returned=m.returns_count(), ship=F.sum("shipcost"), shipped=F.count("shipcost"),
+              valued=F.count(m.revenue()), both=F.count_if(whole), value=F.sum(F.when(whole, m.revenue())),
+              units=F.sum(F.when(whole, F.col("qty")))),
         star.product.select("productid", "unitcost"),
         keys=["delivery_speed", "channel"],
         then_by=["delivery_speed", "channel"],
         then={
             "orders": n,
             "returns": F.sum("returned"),
-            "avg_order_value": m.ratio(F.sum("revenue"), n, 2),
-            "avg_margin": m.ratio(F.sum(_margin()), n, 2),
-            "avg_shipcost": m.ratio(F.sum("ship"), n, 2),
+            "avg_order_value": m.ratio(F.sum("revenue"), F.sum("valued"), 2),
+            "avg_margin": m.ratio(
+                F.sum(F.col("value") - m.cost("units")), F.sum(F.when(F.col("unitcost").isNotNull(), F.col("both"))), 2
+            ),
+            "avg_shipcost": m.ratio(F.sum("ship"), F.sum("shipped"), 2),
         },
     )
     return stats.select(

@@ -139,7 +139,7 @@ def reconcile_layers(star: OrderLineStar) -> DataFrame:
     names = {"fact_sales": "lineitem", "dim_product": "part", "dim_customer": "customer", "dim_store": "supplier"}
     return reconcile(
         {t: star.raw(r) for t, r in names.items()},
-        {t: star.sales("salesid") if t == "fact_sales" else star.table(t) for t in names},
+        {t: star.table(t) for t in names},
     )
 
 

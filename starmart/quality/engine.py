@@ -111,10 +111,13 @@ def summary(results: DataFrame) -> DataFrame:
 
 
 def verdict(results: DataFrame) -> DataFrame:
-    """One row: whether any check failed."""
-    failed = F.coalesce(F.bool_or(F.col("status") == "FAIL"), F.lit(False))
-    return results.agg(failed.alias("has_failures")).withColumn(
-        "verdict", F.when(F.col("has_failures"), "FAILED").otherwise("PASSED")
+    """One row: whether any check failed, or else whether any warned."""
+
+    def some(status: str) -> Column:
+        return F.coalesce(F.bool_or(F.col("status") == status), F.lit(False))
+
+    return results.agg(some("FAIL").alias("has_failures"), some("WARN").alias("has_warnings")).withColumn(
+        "verdict", F.when(F.col("has_failures"), "FAILED").when(F.col("has_warnings"), "WARNINGS").otherwise("PASSED")
     )
 
 

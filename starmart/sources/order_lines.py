@@ -42,7 +42,7 @@ _CHANNEL = (
     "CASE o_orderpriority WHEN '2-HIGH' THEN 'Mobile App' WHEN '3-MEDIUM' THEN 'In-Store' "
     "WHEN '4-NOT SPECIFIED' THEN 'Phone Order' ELSE 'Online' END"
 )
-_ONLINE = "o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')"
+_SHIPPED = "o_orderpriority NOT IN ('3-MEDIUM', '4-NOT SPECIFIED')"
 
 # column -> (expression, needs the orders table)
 FACT = {
@@ -64,7 +64,7 @@ FACT = {
     "discountamount": (_money(f"({_SIGN}) * {_DISC}"), False),
     "taxamount": (_money(f"({_SIGN}) * {_TAX}"), False),
     "shipcost": (
-        _money(f"CASE WHEN {_ONLINE} AND l_returnflag <> 'R' THEN CAST(floor(l_quantity * 50) AS BIGINT) ELSE 0 END"),
+        _money(f"CASE WHEN {_SHIPPED} AND l_returnflag <> 'R' THEN CAST(floor(l_quantity * 50) AS BIGINT) ELSE 0 END"),
         True),
     "isreturn": ("CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS TINYINT)", False),
     "shipweight": (f"CAST({_money('CAST(floor(l_quantity * 30 + 0.5) AS BIGINT)')} AS DECIMAL(10,2))", False),

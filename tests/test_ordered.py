@@ -123,3 +123,50 @@ def test_no_single_task_window_over_large_input(numbers):
     assert "rangepartitioning" not in plan  # the sort ran once and was stored
     # the only gathered frame is one row per range partition, below a broadcast
     assert plan.count("SinglePartition") <= 1 and "BroadcastHashJoin" in plan
+
+
+@pytest.fixture(scope="module")
+def gaps(spark):
+    """NULL groups, NULL metrics and a group of NULLs only."""
+    rows = [(i, None if i % 4 == 0 else "n" if i % 4 == 1 else "g", None if i % 4 == 1 or i % 5 == 0 else i * 7 % 50)
+            for i in range(200)]
+    return spark.createDataFrame(rows, "id int, g string, v long").cache()
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 200])
+def test_null_groups_and_metrics(gaps, partitions):
+    big = dict(partitions=partitions)
+    for within in ((), ("g",)):
+        for order in ([F.col("v").desc(), "id"], ["v", "id"]):
+            same(o.running_sums(gaps, order, {"s": "v"}, within, **big),
+                 o.running_sums(gaps, order, {"s": "v"}, within, max_rows=200))
+        same(o.rank_by(gaps, "v", within, name="r", **big), o.rank_by(gaps, "v", within, name="r", max_rows=200))
+    same(o.occurrence_index(gaps, ["g"], ["id"], **big), o.occurrence_index(gaps, ["g"], ["id"], max_rows=200))
+    same(o.running_share(gaps, "v", **big), o.running_share(gaps, "v", max_rows=200))
+    assert o.rank_by(gaps, "v", ("g",), **big).count() == 200
+    assert o.quantiles(gaps, "v", {"m": 0.37}, **big).collect() == o.quantiles(gaps, "v", {"m": 0.37}, max_rows=200).collect()
+
+
+def test_empty_input(gaps):
+    none = gaps.limit(0)
+    for opts in (dict(max_rows=1), BIG):
+        assert o.rank_by(none, "v", ("g",), **opts).count() == o.occurrence_index(none, ["g"], ["id"], **opts).count() == 0
+        assert o.quantiles(none, "v", {"m": 0.5}, **opts).collect() == [(None,)]
+
+
+def test_allocation_of_zero_weights(spark):
+    from starmart.operators.allocate import allocate
+
+    df = spark.createDataFrame([(1, 0), (2, 0), (3, 0)], "k int, w int")
+    for opts in (dict(max_rows=3), {}):
+        assert {r["k"]: r["allocated"] for r in allocate(df, "w", 11, "k", **opts).collect()} == {1: 4, 2: 4, 3: 3}
+    mixed = spark.createDataFrame([(1, 3), (2, 0), (3, 1)], "k int, w int")
+    assert {r["k"]: r["allocated"] for r in allocate(mixed, "w", 10, "k").collect()} == {1: 8, 2: 0, 3: 2}
+
+
+def test_deviation_of_large_means(spark):
+    df = spark.range(1000).selectExpr("cast(100000000000 + id % 7 as decimal(18,2)) AS v")
+    got = o.distribution(df, "v").first()
+    values = [i % 7 for i in range(1000)]
+    mean = sum(values) / 1000
+    assert abs(got["stdev_v"] - (sum((x - mean) ** 2 for x in values) / 999) ** 0.5) < 1e-4

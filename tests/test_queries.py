@@ -1,13 +1,16 @@
 """Every registered query against its SQL, over whole tables."""
 
+import re
+
 import pytest
 from conftest import SF
 
 import __spark_entry__ as entry_points
 from compare import differences, duck
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+# Queries on training data have tests of their own beside their operators.
+QUERIES = {k: q for k, q in entry_points.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
+ORACLES = {k: q for k, q in entry_points.oracle_sql().items() if not re.match(r"op\d+_|pipeline$", k)}
 
 
 @pytest.fixture(scope="module")
