@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.sources.scratch import materialize
+
+FEW_KEYS = 100_000  # rows of a broadcast, a few MB
+
 Refs = dict[str, tuple[DataFrame, str]]
 
 
@@ -56,14 +60,21 @@ def missing_keys(fact: DataFrame, refs: Refs) -> DataFrame:
 
 
 def rows_with_orphans(fact: DataFrame, refs: Refs) -> DataFrame:
-    """One row, ``orphan_count``: fact rows for which at least one reference is missing."""
-    joined, hit = fact.select(*refs), F.lit(False)
-    for fk, (dim, pk) in refs.items():
-        flag = f"_has_{fk}"
-        keys = dim.select(F.col(pk).alias(fk)).distinct().withColumn(flag, F.lit(1))
-        joined = joined.join(keys, fk, "left")
-        hit = hit | F.col(flag).isNull()
-    return joined.agg(F.count_if(hit).alias("orphan_count"))
+    """One row, ``orphan_count``: fact rows for which at least one reference is missing or NULL.
+
+    The keys that no dimension has come first, from distinct keys only.  Fact rows are then marked against these few; a
+    hot key that is known, such as the unknown member, moves no rows.  The missing keys are broadcast if they are counted
+    and few, and joined otherwise.
+    """
+    lost, n = materialize(missing_keys(fact, refs).filter("key IS NOT NULL"))
+    marked, hit = fact.select(*refs), F.lit(False)
+    for fk in refs:
+        hit = hit | F.col(fk).isNull()
+        if n:
+            keys = lost.filter(F.col("fk") == fk).select(F.col("key").alias(fk), F.lit(1).alias(f"_lost_{fk}"))
+            marked = marked.join(F.broadcast(keys) if n <= FEW_KEYS else keys, fk, "left")
+            hit = hit | F.col(f"_lost_{fk}").isNotNull()
+    return marked.agg(F.count_if(hit).alias("orphan_count"))
 
 
 def duplicate_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
