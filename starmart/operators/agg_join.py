@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.measures import ratio
+from starmart.sources.scratch import materialize
 
 
 def aggregate_then_join(
@@ -44,8 +45,11 @@ def share(df: DataFrame, metric: str, within: Sequence[str] = (), name: str = "s
           digits: int | None = None) -> DataFrame:
     """Share of each row in its group's total.
 
-    ``df`` is an aggregate over code-list columns (channels, reasons, bands), so a group has
-    no more rows than the code list has entries.
+    With ``within``, ``df`` is an aggregate over code-list columns (channels, reasons, bands), so a group has no more rows
+    than the code list has entries.  Without it ``df`` may be of any size: it is stored, and its total is one row.
     """
+    if not within:
+        df, _ = materialize(df)
+        return df.withColumn(name, ratio(F.col(metric), df.agg(F.sum(metric)).scalar(), digits))
     total = F.sum(metric).over(Window.partitionBy(*within))
     return df.withColumn(name, ratio(F.col(metric), total, digits))

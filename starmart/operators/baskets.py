@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from starmart.functions.measures import ratio
 from starmart.sources.scratch import materialize
 
+FEW_PAIRS = 100_000  # rows of a broadcast, a few MB
 BLOCK_ITEMS = 1_000     # items of one basket that are paired within one join key
 SEED_ITEMS = 256        # items whose pairs give the first lower limit for the top list
 PAIRS_PER_ROW = 50      # expected expansion up to which all pairs are simply counted
@@ -132,7 +133,9 @@ def pairs(
     all_baskets = items.agg(F.count_distinct("basket").alias("n")).scalar()
     popularity = items.groupBy("item").agg(F.count(F.lit(1)).alias("baskets"))
     if top is not None:
-        counted = F.broadcast(_best(counted, top))  # at most ``top`` rows
+        counted = _best(counted, top)
+        if top <= FEW_PAIRS:
+            counted = F.broadcast(counted)  # at most ``top`` rows
     pop_a = popularity.select(F.col("item").alias("item_a"), F.col("baskets").alias("baskets_a"))
     pop_b = popularity.select(F.col("item").alias("item_b"), F.col("baskets").alias("baskets_b"))
     return (

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.schemas import TABLES
 
@@ -61,13 +62,35 @@ def publish(df: DataFrame, layer: str, name: str, comment: str | None = None, fi
     else:
         path = snapshot_path(spark, layer, name)
         writer.parquet(path)
-        spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")  # the old snapshot's files stay
-        spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet", schema=df.schema)
+        switch_snapshot(spark, f"{layer}.{name}", path, df.schema)
     if comment:
         describe(spark, f"{layer}.{name}", comment)
     return seen.get["rows"]
 
 
+def switch_snapshot(spark: SparkSession, table: str, path: str, schema: T.StructType) -> None:
+    """Point ``table`` at the finished files in ``path``; the old snapshot's files stay.
+
+    With the same columns this is one change of the table's location.  Otherwise the new table is made under another name
+    first, so that nothing is given up before it is there.
+    """
+    if spark.catalog.tableExists(table):
+        if _columns(spark.table(table).schema) == _columns(schema):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE IF EXISTS {table}__next")
+        spark.catalog.createTable(f"{table}__next", path=path, source="parquet", schema=schema)
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    else:
+        spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+
+
+def _columns(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
 def publish_query(spark: SparkSession, query: str, layer: str, name: str, comment: str | None = None) -> int:
     """Materialise a SQL query as a table."""
     return publish(spark.sql(query), layer, name, comment)

@@ -8,13 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.schemas import TableSpec
+from starmart.sources.delimited import CORRUPT
 
+KEPT_BATCHES = "spark.sql.streaming.numRecentProgressUpdates"
+MOST_BATCHES = 100_000  # of one load; their progress is a few hundred bytes each
 
-def stream_csv(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame:
+
+def stream_csv(spark: SparkSession, folder: str, spec: TableSpec, files_per_batch: int | None = None) -> DataFrame:
+    schema = T.StructType(spec.raw_schema.fields).add(CORRUPT, "string")
+    reader = spark.readStream.option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
-        spark.readStream.option("header", True).schema(spec.raw_schema).csv(folder)
+        reader.option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(folder)
         .select(
             "*",
             F.col("_metadata.file_path").alias("_source_file"),
@@ -24,12 +33,22 @@ def stream_csv(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame:
     )
 
 
-def load_new_files(spark: SparkSession, folder: str, spec: TableSpec, target: str, checkpoint: str) -> int:
+def load_new_files(spark: SparkSession, folder: str, spec: TableSpec, target: str, checkpoint: str,
+                   files_per_batch: int | None = None) -> int:
     """Append rows of new files below ``folder`` to the parquet folder ``target``; return the
-    rows added.  The checkpoint remembers the files, so a rerun adds nothing twice."""
-    query = (
-        stream_csv(spark, folder, spec).writeStream.format("parquet").option("path", target)
-        .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    rows added.  The checkpoint remembers the files, so a rerun adds nothing twice.  A row that does not parse keeps its
+    text, as in the batch scan.  ``files_per_batch`` cuts a large backlog into micro-batches."""
+    before = spark.conf.get(KEPT_BATCHES)
+    spark.conf.set(KEPT_BATCHES, str(MOST_BATCHES))
+    try:
+        query = (
+            stream_csv(spark, folder, spec, files_per_batch).writeStream.format("parquet").option("path", target)
+            .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        progress = query.recentProgress
+    finally:
+        spark.conf.set(KEPT_BATCHES, before)
+    if len(progress) >= MOST_BATCHES:
+        raise RuntimeError("more micro-batches than are counted; load more files in each")
+    return sum(p["numInputRows"] for p in progress)

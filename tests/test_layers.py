@@ -203,3 +203,28 @@ def test_scratch_folder_follows_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir") + "/starmart"
     stored, rows = materialize(spark.range(12))
     assert rows == 12 and scratch_root(spark) in stored.inputFiles()[0]
+
+
+def test_stream_counts_many_batches_and_keeps_bad_rows(spark, tmp_path):
+    src, target, check = (f"{tmp_path}/{x}" for x in ("in", "out", "check"))
+    os.makedirs(src)
+    names = DIM_STORE.names
+    for i in range(120):
+        cells = ["x" if i == 7 and n == "staff" else str(i) if n == "storeid" else "" for n in names]
+        with open(f"{src}/{i}.csv", "w") as f:
+            f.write(",".join(names) + "\n" + ",".join(cells) + "\n")
+    assert load_new_files(spark, src, DIM_STORE, target, check, files_per_batch=1) == 120
+    bad = spark.read.parquet(target).filter("_corrupt_record IS NOT NULL").collect()
+    assert [r["storeid"] for r in bad] == [7]
+
+
+def test_publish_switches_in_one_step(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS switched")
+    catalog.publish(spark.range(3), "switched", "t")
+    with pytest.raises(Exception):
+        catalog.publish(spark.range(5).select(F.raise_error(F.lit("late")).cast("long").alias("id")), "switched", "t")
+    assert spark.table("switched.t").count() == 3
+    catalog.publish(spark.range(5), "switched", "t")
+    assert spark.table("switched.t").count() == 5
+    catalog.publish(spark.range(2).selectExpr("id", "id AS more"), "switched", "t")
+    assert spark.table("switched.t").columns == ["id", "more"] and spark.table("switched.t").count() == 2
