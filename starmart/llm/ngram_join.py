@@ -1,6 +1,7 @@
 """Jaccard join of documents on word n-grams by vertical partitioning.
 
-A document's set is its distinct runs of ``N`` words (the whole sequence if it has fewer words), as 64-bit hashes.  Two
+A document's set is its distinct runs of ``N`` words (the whole sequence if it has fewer words), as hashes: 48 bits that
+travel and are compared, beside the range of the other bits.  Two
 documents link when 100 times the intersection is at least ``SIMILAR`` times the union.
 
 1. *Frequencies.*  The n-grams of a chunk of documents travel by hash range, as packed arrays.  Where all of a range meet,
@@ -38,9 +39,9 @@ from starmart.llm.links import linked_components
 
 N, SIMILAR = 5, 75
 FRAGMENTS = 4
-CHUNK_DOCS, CHUNK_NGRAMS = 2000, 1_000_000
+CHUNK_DOCS, CHUNK_NGRAMS = 2000, 500_000
 FREQUENT = 32
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 8 << 20
 REMEMBERED_WORDS = 300_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD = np.random.default_rng(20240229).integers(1, 1 << 62, N + 1, dtype="uint64") * np.uint64(2) + np.uint64(1)
@@ -51,6 +52,17 @@ _PACKED = "place int, kind int, chunk long, ngrams binary, docs binary, counts b
 _PACKED_NAMES = ["place", "kind", "chunk", "ngrams", "docs", "counts"]
 
 
+def _thin(hashes: np.ndarray) -> bytes:
+    """The low 48 bits of each hash."""
+    return np.ascontiguousarray(hashes, "<u8").view("u1").reshape(-1, 8)[:, :6].tobytes()
+
+
+def _wide(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 6, 8), "u1")
+    out[:, :6] = np.frombuffer(packed, "u1").reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > REMEMBERED_WORDS:
@@ -101,7 +113,7 @@ def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], ranges: int) -> I
     sizes = np.diff(np.append(starts, len(every)))
     often = np.repeat(sizes > FREQUENT, sizes)
     if often.any():
-        yield home, LISTED, chunk, every[often].tobytes(), docs[often].tobytes(), None
+        yield home, LISTED, chunk, _thin(every[often]), docs[often].tobytes(), None
     for kind, hashes, more in (
         (SINGLE, every[~often], docs[~often]),
         (COUNTED, every[starts[sizes > FREQUENT]], sizes[sizes > FREQUENT].astype("<u4")),
@@ -111,7 +123,7 @@ def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], ranges: int) -> I
         for p in np.flatnonzero(np.diff(cuts)).tolist():
             a, b = cuts[p], cuts[p + 1]
             part = more[a:b].tobytes()
-            yield p, kind, chunk, hashes[a:b].tobytes(), *((part, None) if kind == SINGLE else (None, part))
+            yield p, kind, chunk, _thin(hashes[a:b]), *((part, None) if kind == SINGLE else (None, part))
 
 
 def _by_value(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, list[tuple]]]:
@@ -132,19 +144,19 @@ def _by_value(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Document frequencies within a hash range; rows for the chunks, with frequencies of two or more as counts."""
     for place, rows in _by_value(batches, "place"):
-        arrays = [np.frombuffer(r[3], "<u8") if r[1] in (SINGLE, COUNTED) else None for r in rows]
+        arrays = [_wide(r[3]) if r[1] in (SINGLE, COUNTED) else None for r in rows]
         own = [i for i, a in enumerate(arrays) if a is not None]
         if own:
             every = np.concatenate([arrays[i] for i in own])
             weight = np.concatenate([
-                np.frombuffer(rows[i][5], "<u4").astype("int64") if rows[i][1] == COUNTED else np.ones(len(arrays[i]), "int64")
+                np.frombuffer(rows[i][5], "<u4") if rows[i][1] == COUNTED else np.ones(len(arrays[i]), "u4")
                 for i in own
             ])
             order = np.argsort(every, kind="stable")
             ranked = every[order]
             first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-            total = np.add.reduceat(weight[order], np.flatnonzero(first))
-            frequency = np.empty(len(every), "int64")
+            total = np.minimum(np.add.reduceat(weight[order], np.flatnonzero(first), dtype="int64"), (1 << 32) - 1)
+            frequency = np.empty(len(every), "u4")
             frequency[order] = total[np.cumsum(first) - 1]
             del order, ranked, first
         at = 0
@@ -157,8 +169,8 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = mine > 1
             if keep.any():
                 docs = np.frombuffer(row[4], "<u2")[keep].tobytes() if row[1] == SINGLE else None
-                counts = np.minimum(mine[keep], (1 << 32) - 1).astype("<u4").tobytes()
-                yield _pack([(place, row[1], row[2], arrays[i][keep].tobytes(), docs, counts)])
+                counts = mine[keep].astype("<u4").tobytes()
+                yield _pack([(place, row[1], row[2], _thin(arrays[i][keep]), docs, counts)])
 
 
 _SETS = "doc_id long, n_shingles long, mark binary, shared binary, often binary"
@@ -176,10 +188,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kind in (SINGLE, LISTED):
             for r in rows:
                 if r[1] == kind:
-                    hashes.append(np.frombuffer(r[3], "<u8"))
+                    hashes.append(_wide(r[3]))
                     docs.append(np.frombuffer(r[4], "<u2"))
                     often.append(np.frombuffer(r[5], "<u4") if kind == SINGLE else None)
-        counted = [(np.frombuffer(r[3], "<u8"), np.frombuffer(r[5], "<u4")) for r in rows if r[1] == COUNTED]
+        counted = [(_wide(r[3]), np.frombuffer(r[5], "<u4")) for r in rows if r[1] == COUNTED]
         if counted:
             names, counts = (np.concatenate(x) for x in zip(*counted, strict=True))
             order = np.argsort(names)
@@ -195,7 +207,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             able = sizes[k] > 0 and 100 * (b - a) >= SIMILAR * int(sizes[k])
             out.append((
                 int(ids[k]) if known[k] else None, int(sizes[k]), head[4][16 * k:16 * k + 16],
-                h[a:b].astype("<u8").tobytes() if able else None, o[a:b].astype("<u4").tobytes() if able else None,
+                _thin(h[a:b]) if able else None, o[a:b].astype("<u4").tobytes() if able else None,
             ))
         types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         for low in range(0, n, 500):
@@ -236,7 +248,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
 def _order_keys(shared: bytes, often: bytes) -> np.ndarray:
     """Where n-grams stand in the global order, as a number that grows with (frequency, hash)."""
     most = np.minimum(np.frombuffer(often, "<u4"), (1 << 15) - 1).astype("int64")
-    return most << 48 | (np.frombuffer(shared, "<u8") >> np.uint64(16)).astype("int64")
+    return most << 48 | _wide(shared).astype("int64")
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
@@ -247,7 +259,7 @@ def prefixes(classes: DataFrame) -> DataFrame:
         for batch in batches:
             keys, nodes, rooms, sizes = ([np.zeros(0, "int64")] for _ in range(4))
             for node, n, shared in zip(*(batch.column(c).to_pylist() for c in ("node", "n_shingles", "shared")), strict=True):
-                own = np.frombuffer(shared, "<i8")
+                own = _wide(shared).astype("int64")
                 first = n - -(-SIMILAR * n // 100) + 1 - (n - len(own))  # n-grams of one document stand before all others
                 keys.append(own[: max(first, 0)])
                 nodes.append(np.full(len(keys[-1]), node))
@@ -291,9 +303,9 @@ def segments(classes: DataFrame, cuts: list[int]) -> DataFrame:
         for batch in batches:
             out = []
             for node, shared, often in zip(*(batch.column(c).to_pylist() for c in ("node", "shared", "often")), strict=True):
-                own = np.frombuffer(shared, "<u8")
+                own = _wide(shared)
                 edges = [0, *np.searchsorted(_order_keys(shared, often), cuts, "right").tolist(), len(own)]
-                out += [(node, f, np.sort(own[a:b]).tobytes()) for f, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+                out += [(node, f, _thin(np.sort(own[a:b]))) for f, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
             columns = list(zip(*out, strict=True)) or [()] * 3
             types = [pa.int64(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -305,7 +317,7 @@ def segments(classes: DataFrame, cuts: list[int]) -> DataFrame:
 
 def _overlap(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series([
-        len(np.intersect1d(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), assume_unique=True))
+        len(np.intersect1d(_wide(a), _wide(b), assume_unique=True))
         for a, b in zip(x, y, strict=True)
     ], dtype="int64")
 
