@@ -9,7 +9,7 @@ The search is bin completion by branch and bound.  It takes the largest length l
 with it and are not dominated (a filling is dominated if a length left out could take the place of some of its pieces
 and waste less), and applies a filling as often as the histogram allows.  A branch is cut when the waste so far exceeds
 what a solution better than the incumbent may waste.  The incumbent is the best-fit-decreasing solution, of the whole
-and of what is left at every node.  ``NODES`` bounds the search; the incumbent is always a whole solution, so a search
+and of what is left at every node.  ``WORK`` (lengths looked at, summed over the nodes) bounds the search; the incumbent is always a whole solution, so a search
 that ends early packs every piece too, in as few sequences as found.
 
 Ranks are counted per (length, hash bucket) and shifted by the counts of the buckets before, so a length that a third of
@@ -37,7 +37,7 @@ from starmart.llm.common import shuffle_width, stored, text_of
 
 CAPACITY = 4096
 END_ID = 1
-NODES = 4000
+WORK = 400_000
 FILLINGS = 24
 BUCKET_PIECES = 50_000
 REMEMBERED_WORDS = 250_000
@@ -88,14 +88,14 @@ def _dominated(chosen: list[tuple[int, int]], room: int, left: dict[int, int], o
     """Could a length that is left out take the place of one or two chosen pieces (or of free room) and waste less?"""
     if not order:
         return False
-    spare = {n: c - dict(chosen).get(n, 0) for n, c in left.items()}
+    used = dict(chosen)
     sums = {0}
     flat = [n for n, c in chosen for _ in range(min(c, 2))]
     sums.update(flat)
     sums.update(a + b for i, a in enumerate(flat) for b in flat[i + 1:])
     for total in sums:
         low, high = bisect_left(order, total + 1), bisect_left(order, total + room + 1)
-        if any(spare[n] > 0 for n in order[low:high]):
+        if any(left[n] > used.get(n, 0) for n in order[low:high]):
             return True
     return False
 
@@ -145,7 +145,7 @@ def least_sequences(counts: dict[int, int], capacity: int) -> int:
     return bound
 
 
-def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
+def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, work: int = WORK) -> Plan:
     """Fillings and how often each is used; uses up ``counts`` exactly."""
     counts = {n: c for n, c in counts.items() if c}
     if not counts:
@@ -153,13 +153,13 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     best = best_fit(counts, capacity)
     size = sum(n for _, n in best)
     floor, total = least_sequences(counts, capacity), sum(n * c for n, c in counts.items())
-    budget = [nodes]
+    budget = [work]
 
     def search(left: dict[int, int], used: Plan, n_used: int, wasted: int) -> None:
         nonlocal best, size
         if size == floor or budget[0] <= 0:
             return
-        budget[0] -= 1
+        budget[0] -= 1 + len(left)
         if not left:
             if n_used < size:
                 best, size = list(used), n_used
@@ -191,7 +191,7 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     import sys
 
     deep = sys.getrecursionlimit()
-    sys.setrecursionlimit(max(deep, 4 * nodes + 1000))
+    sys.setrecursionlimit(max(deep, work // 10 + 1000))
     try:
         search(counts, [], 0, 0)
     finally:
