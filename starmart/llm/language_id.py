@@ -256,7 +256,7 @@ def label(texts: list[str], model: Model) -> list[tuple[str, float, list[dict]]]
     scores = np.split(every, np.cumsum([len(w) for w in words])[:-1])
     out = []
     for text, own, s, path in zip(texts, words, scores, best_paths(scores), strict=True):
-        if not own:
+        if not any(c.isalpha() for w in own for c in w):  # nothing, or signs such as a raised digit
             out.append((UNDETERMINED, 0.0, []))
             continue
         sizes = np.bincount(path, [len(w) for w in own], len(model.languages))

@@ -295,7 +295,7 @@ def test_scripts_and_spans():
     assert [(s["lang"], mixed[s["start"]:s["stop"]]) for s in spans] == [
         ("en", f"{english} {english}"), ("ru", f"{russian} {russian}"), ("en", english)
     ]
-    assert language_id.label(["12 34 !", ""], known) == [("und", 0.0, [])] * 2
+    assert language_id.label(["12 34 !", "", "x² ²"[1:]], known) == [("und", 0.0, [])] * 3
     assert language_id.label(["γάτα"], known)[0][0] == "el"
 
 
