@@ -65,6 +65,7 @@ def linked_components(
         able = rows.where(possible("x", "y")) if possible else rows
         return able.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
+    members = stored(members)
     groups = members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"),
                                         F.min_by(one, F.struct(prefer or "node", "node")).alias("y"))
     open_members = stored(members.join(groups.where("low < high"), "key").select(
