@@ -98,6 +98,11 @@ def test_registered_toxicity_held_out(spark):
     assert len(rows) == 1000 and auc(*zip(*own, strict=True)) > 0.8
 
 
+def test_labels_that_texts_do_not_explain_reject_nothing():
+    blind = toxicity.train(["the same words of it"] * 40, [0, 1] * 20)
+    assert blind.score("the same words of it") < toxicity.PASS_MARK
+
+
 # --- secrets --------------------------------------------------------------------------------------------------
 
 
