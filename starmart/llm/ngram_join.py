@@ -246,9 +246,9 @@ def shared_sets(docs: DataFrame) -> DataFrame:
 
 
 def _order_keys(shared: bytes, often: bytes) -> np.ndarray:
-    """Where n-grams stand in the global order, as a number that grows with (frequency, hash)."""
-    most = np.minimum(np.frombuffer(often, "<u4"), (1 << 15) - 1).astype("int64")
-    return most << 48 | _wide(shared).astype("int64")
+    """Where n-grams stand in the global order, as a number that never falls along it: the whole frequency and the upper
+    31 bits of the hash.  N-grams with the same number are on the same side of every cut."""
+    return np.frombuffer(often, "<u4").astype("int64") << 31 | (_wide(shared) >> np.uint64(17)).astype("int64")
 
 
 def prefixes(classes: DataFrame) -> DataFrame:

@@ -147,6 +147,32 @@ def _through(rows):
     return [ngram_join._pack(mid)]
 
 
+def test_cuts_among_very_frequent_ngrams(spark):
+    """Near copies whose n-grams stand in more than 32767 documents keep their whole overlap, wherever the cuts fall."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 48, 400, dtype="uint64")
+    often = rng.integers(32_768, (1 << 32) - 1, 400).astype("<u4")
+    often[:40] = (1 << 32) - 1
+    rows, sets = [], []
+    for node in range(12):
+        own = np.sort(rng.permutation(400)[:380])
+        own = own[np.lexsort((hashes[own], often[own]))]
+        keys = ngram_join._order_keys(ngram_join._thin(hashes[own]), often[own].tobytes())
+        assert (np.diff(keys) >= 0).all()
+        rows.append((node, 380, bytearray(ngram_join._thin(hashes[own])), bytearray(often[own].tobytes())))
+        sets.append(set(own.tolist()))
+    classes = spark.createDataFrame(rows, "node long, n_shingles long, shared binary, often binary")
+    cuts = ngram_join.fragment_cuts(classes)
+    assert len(cuts) == ngram_join.FRAGMENTS - 1
+    parts = {(r.node, r.fragment): set(ngram_join._wide(r.segment).tolist()) for r in ngram_join.segments(classes, cuts).collect()}
+    for a in range(12):
+        for b in range(a):
+            by_fragment = sum(len(parts.get((a, f), set()) & parts.get((b, f), set())) for f in range(ngram_join.FRAGMENTS))
+            assert by_fragment == len(sets[a] & sets[b])
+
+
 def test_components_of_links(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(k, k + 1) for k in range(100, 140)] + [(7, 7)]
