@@ -218,6 +218,28 @@ def test_registered_lines_have_recall(spark):
     assert len(set(roots.values())) <= kept <= 1.01 * len(set(roots.values()))
 
 
+def test_long_near_copies_share_a_band(spark):
+    """Lines of many words with a similarity of 0.75 to 0.85: nearly all pairs have a band in common."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9)))
+    pairs = []
+    while len(pairs) < 600:
+        n = (25, 40, 100)[len(pairs) % 3]
+        old = " ".join(word() for _ in range(n))
+        new = old
+        for _ in range(round(len(old) * rng.uniform(0.015, 0.035))):
+            at = rng.randrange(len(new))
+            new = new[:at] + rng.choice("abcdefgh") + new[at + len(pairs) // 3 % 2:]  # inserted or replaced
+        x, y = line_set(old), line_set(new)
+        if 0.75 <= len(x & y) / len(x | y) <= 0.85:
+            pairs.append((old, new))
+    lines = spark.createDataFrame([(2 * k + j, p[j]) for k, p in enumerate(pairs) for j in range(2)], "node long, line string")
+    keys = collections.defaultdict(set)
+    for r in line_dedup.band_keys(lines).collect():
+        keys[r.node].add(r.key)
+    assert sum(bool(keys[2 * k] & keys[2 * k + 1]) for k in range(600)) >= 0.985 * 600
+
+
 def test_cleaned_texts(docs):
     got = {r.doc_id: r.text for r in line_dedup.without_repeats(docs.where("doc_id in (18, 19, 20)")).collect()}
     assert got[18] == "line one of it\n" and got[19] == "same line that stands in many texts" and got[20] == "other"
