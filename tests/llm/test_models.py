@@ -172,6 +172,22 @@ def test_formats_are_learned():
             assert abs(mass - 1) < 1e-6  # each state is a distribution
 
 
+@pytest.mark.parametrize("share", [1, 5, 40])
+def test_formats_at_any_share_of_unlabelled_credentials(share):
+    """Credentials outside the base patterns among the runs do not raise the limit above themselves."""
+    rng = random.Random(share)
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    hexes, caps = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    found = {"hex": [make(hexes, 40) for _ in range(200)], "access": ["AKIA" + make(caps, 16) for _ in range(200)]}
+    plain = ["-".join(rng.choice(["report", "2024", "table", "page", "draft", "final"]) for _ in range(4)) for _ in range(1000)]
+    plain += [make("0123456789", 16) for _ in range(500)]
+    hidden = ["ASIA" + make(caps, 16) if k % 2 else make(hexes, 22) for k in range(15 * share)]
+    known = secret_scan.Formats(found, plain + hidden)
+    own = [v for v in hidden if secret_scan.MIXED.search(v)]
+    assert sum(map(known.is_secret, own)) > 0.7 * len(own)
+    assert not any(map(known.is_secret, plain))
+
+
 def test_redaction(docs):
     left = secret_scan.redact(docs)
     assert left.columns == docs.columns
