@@ -188,6 +188,18 @@ def test_formats_at_any_share_of_unlabelled_credentials(share):
     assert not any(map(known.is_secret, plain))
 
 
+def test_parts_beside_base_spans_are_candidates():
+    left, right, key, tail = "Zx9" * 8, "q7W/" * 6, "AKIA" + "B2C3" * 4, "0123456789abcdef" * 2
+    text = f"a {left}{'_'}{tail}/{right}== b {key} {left} c"
+    base = secret_scan.base_spans(text)
+    got = secret_scan.candidate_spans(text, base)
+    assert [v for _, _, v in got] == [left + "_", "/" + right + "==", left]
+    assert all(text[a:b] == v for a, b, v in got)
+    assert not any(a < stop and start < b for a, b, _ in got for start, _, stop, _ in base)
+    short = f"{left[:15]}-{tail}-{right[:14]}"
+    assert [v for _, _, v in secret_scan.candidate_spans(short, secret_scan.base_spans(short))] == [left[:15] + "-"]
+
+
 def test_redaction(docs):
     left = secret_scan.redact(docs)
     assert left.columns == docs.columns
