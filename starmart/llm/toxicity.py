@@ -9,8 +9,8 @@ Training uses a bounded sample of labelled rows: ``TOXIC_ROWS`` and ``OTHER_ROWS
 ``TRAINING_CHARS`` characters each, chosen by hash among the rows whose CRC-32 of the id, modulo 4, is not 2.  A part of
 the sample calibrates: each language gets the threshold with the best F1, and a score is the logistic of the distance to
 the threshold, shifted so that the threshold has score 0.3.  The language is read off the text by its function words
-(the column ``lang`` is never used); a language with fewer than ``LEAST_TOXIC`` toxic calibration rows takes the common
-threshold.  Only the text enters a score.  Scoring covers every whole text, one scan and no shuffle.
+(the column ``lang`` is never used); a language with fewer than ``LEAST_TOXIC`` toxic calibration rows, or whose
+best threshold would call all its rows toxic, takes the common threshold.  Only the text enters a score.  Scoring covers every whole text, one scan and no shuffle.
 
 Defined results: NULL text counts as empty and gets the score of a text without known words; a NULL ``doc_id`` is not held
 out; several labels of a document make it toxic if one does; NULL labels are ignored; without both classes every score is
@@ -36,7 +36,7 @@ TOXIC_ROWS, OTHER_ROWS, TRAINING_CHARS = 3000, 4000, 20_000
 HELD_OUT = 2
 PASS_MARK = 0.3
 BUCKETS, SIZE, FILTERS, WIDTHS = 1 << 18, 16, 16, (1, 2, 3)
-LEAST_DOCS, LEAST_TOXIC = 3, 15
+LEAST_DOCS, LEAST_TOXIC, LEAST_RANKING = 3, 15, 0.6
 EPOCHS, RATE, DECAY, CALIBRATION_SHARE = 6, 0.1, 1e-5, 0.2
 REMEMBERED_WORDS = 200_000
 _WORD = re.compile(r"[^\W_]+")
@@ -135,15 +135,28 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(away + np.log(PASS_MARK / (1 - PASS_MARK)), -30, 30))))
 
 
-def _best_threshold(logits: np.ndarray, toxic: np.ndarray) -> float:
-    """Middle of the gap at which F1 is best; above all rows where the best cut would only call every row toxic."""
+def _ranking(logits: np.ndarray, toxic: np.ndarray) -> float:
+    """The share of pairs of a toxic and another row in which the toxic one has the larger logit; ties count half."""
+    low, high = (np.searchsorted(np.sort(logits[toxic == 0]), logits[toxic > 0], side) for side in ("left", "right"))
+    return float((low + high).sum() / 2 / max(1, (toxic == 0).sum() * (toxic > 0).sum()))
+
+
+def _best_threshold(logits: np.ndarray, toxic: np.ndarray, common: float | None = None) -> float:
+    """Middle of the gap at which F1 is best.  Where the best cut would only call every row toxic: ``common`` if there is
+    one, else the best cut that leaves a row, or above all rows if the logits do not rank the classes."""
     order = np.argsort(-logits, kind="stable")
     z, y = logits[order], toxic[order]
     hits = np.cumsum(y)
     f1 = 2 * hits / (np.arange(1, len(z) + 1) + y.sum())
     f1[:-1][z[:-1] == z[1:]] = -1  # no cut inside a tie
     k = int(f1.argmax())
-    return float((z[k] + z[k + 1]) / 2) if k + 1 < len(z) else float(z[0] + 1)
+    if k + 1 == len(z):
+        if common is not None:
+            return common
+        if _ranking(logits, toxic) < LEAST_RANKING:
+            return float(z[0] + 1)
+        k = int(f1[:-1].argmax())
+    return float((z[k] + z[k + 1]) / 2)
 
 
 def train(texts: list[str], toxic: list[int]) -> Classifier:
@@ -231,7 +244,7 @@ def train(texts: list[str], toxic: list[int]) -> Classifier:
     for name in sorted(FUNCTION_WORDS):
         own = tongue == name
         if y[judge][own].sum() >= LEAST_TOXIC and (y[judge][own] == 0).any():
-            m.thresholds[name] = _best_threshold(z[own], y[judge][own])
+            m.thresholds[name] = _best_threshold(z[own], y[judge][own], m.thresholds[""])
     m._known.clear()
     return m
 

@@ -103,6 +103,14 @@ def test_labels_that_texts_do_not_explain_reject_nothing():
     assert blind.score("the same words of it") < toxicity.PASS_MARK
 
 
+def test_threshold_where_nearly_all_rows_are_toxic():
+    """One clean row that does not rank last: the toxic rows above it are still rejected."""
+    z, y = np.array([*np.linspace(1, 3, 40), -2.0, -1.0]), np.array([1.0] * 41 + [0.0])
+    assert toxicity._best_threshold(z, y) < 1 and toxicity._best_threshold(z, y) > -1
+    assert toxicity._best_threshold(z, y, 0.4) == 0.4  # a language takes the common threshold
+    assert toxicity._best_threshold(np.zeros(6), np.array([1.0, 0, 1, 0, 1, 1])) > 0  # no ranking: nothing is rejected
+
+
 # --- secrets --------------------------------------------------------------------------------------------------
 
 
