@@ -245,6 +245,16 @@ def test_cleaned_texts(docs):
     assert got[18] == "line one of it\n" and got[19] == "same line that stands in many texts" and got[20] == "other"
 
 
+def test_cleaned_texts_of_null_and_repeated_ids(spark):
+    rows = [(None, "only the row without an id has it\nshared line"), (None, "another row without an id"), (5, "shared line\nfifth b"),
+            (5, "a first text of five\nshared line"), (5, "a first text of five\nshared line"), (7, "shared line")]
+    got = [tuple(r) for r in line_dedup.without_repeats(frame(spark, rows)).collect()]
+    assert sorted(got, key=repr) == sorted([
+        (None, "only the row without an id has it"), (None, "another row without an id"),
+        (5, "a first text of five\nshared line"), (5, "fifth b"),
+    ], key=repr)
+
+
 def test_oracle_of_dedup(spark):
     import duckdb
 
