@@ -7,10 +7,11 @@ of equal length.
 
 The search is bin completion by branch and bound.  It takes the largest length left, enumerates the fillings that go
 with it and are not dominated (a filling is dominated if a length left out could take the place of some of its pieces
-and waste less), and applies a filling as often as the histogram allows.  A branch is cut when the waste so far exceeds
-what a solution better than the incumbent may waste.  The incumbent is the best-fit-decreasing solution, of the whole
-and of what is left at every node.  ``WORK`` (lengths looked at, summed over the nodes) bounds the search; the incumbent is always a whole solution, so a search
-that ends early packs every piece too, in as few sequences as found.
+and waste less) in order of waste, and applies a filling as often as the histogram allows.  Bitsets of the sums that shorter
+lengths can reach lead the enumeration, so it meets fillings only, and none is left out.  A branch is cut when the waste so
+far exceeds what a solution better than the incumbent may waste.  The incumbent is the best-fit-decreasing solution, of
+the whole and of what is left at every node.  ``WORK`` (lengths looked at, summed over the nodes) bounds the search; the
+incumbent is always a whole solution, so a search that ends early packs every piece too, in as few sequences as found.
 
 Ranks are counted per (length, hash bucket) and shifted by the counts of the buckets before, so a length that a third of
 all pieces share is spread over many tasks.
@@ -22,10 +23,12 @@ Defined results: a NULL text is the empty text, which is the end token alone; re
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -38,9 +41,9 @@ from starmart.llm.common import shuffle_width, stored, text_of
 CAPACITY = 4096
 END_ID = 1
 WORK = 400_000
-FILLINGS = 24
+NODE_WORK = 32
 BUCKET_PIECES = 50_000
-REMEMBERED_WORDS = 250_000
+REMEMBERED_WORDS = 400_000
 
 Filling = tuple[tuple[int, int], ...]  # (length, how often), longest first
 Plan = list[tuple[Filling, int]]  # a filling and how many sequences have it
@@ -100,33 +103,51 @@ def _dominated(chosen: list[tuple[int, int]], room: int, left: dict[int, int], o
     return False
 
 
-def fillings(largest: int, left: dict[int, int], capacity: int, waste: int) -> list[Filling]:
-    """Undominated fillings around one piece of ``largest`` that waste at most ``waste``, least waste first."""
-    order = sorted(n for n, c in left.items() if c > 0)
-    found: list[tuple[int, Filling]] = []
-    steps = [40 * FILLINGS]
-
-    def go(top: int, room: int, chosen: list[tuple[int, int]]) -> None:
-        steps[0] -= 1
-        if steps[0] < 0 or len(found) >= FILLINGS:
+def reachable(order: list[int], left: dict[int, int], room: int) -> list[int]:
+    """Bitsets: bit ``s`` of the ``k``-th is set if pieces of the first ``k`` lengths of ``order`` can add up to ``s``."""
+    sums, mask = [1], (2 << room) - 1
+    for length in order:
+        now, more, step = sums[-1], min(left[length], room // length), 1
+        while more:
+            step = min(step, more)
+            now |= now << (step * length)
+            more, step = more - step, 2 * step
+        sums.append(now & mask)
+    return sums
+
+
+def fillings(largest: int, left: dict[int, int], capacity: int, waste: int, budget: list[int]) -> Iterator[Filling]:
+    """The undominated fillings around one piece of ``largest`` that waste at most ``waste``, least waste first, each when
+    it is asked for.  What can be reached with the shorter lengths is known, so no step leads nowhere.  Every length looked
+    at is taken off ``budget``; no more comes once it is used up."""
+    room = capacity - largest
+    order = sorted(n for n, c in left.items() if c > 0 and n <= room)
+    sums = reachable(order, left, room)
+    budget[0] -= len(order)
+
+    def adding_up(top: int, rest: int, chosen: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+        if not rest:
+            yield chosen
             return
-        top = min(top, bisect_left(order, room + 1))
-        if room <= waste and not _dominated(chosen, room, left, order):
-            merged = dict(chosen)
-            merged[largest] = merged.get(largest, 0) + 1
-            found.append((room, tuple(sorted(merged.items(), reverse=True))))
-            if room == 0:
+        for at in range(min(top, bisect_left(order, rest + 1)) - 1, -1, -1):
+            budget[0] -= 1
+            if budget[0] <= 0 or not sums[at + 1] >> rest & 1:
                 return
-        for at in range(top - 1, -1, -1):
             length = order[at]
-            for often in range(min(left[length], room // length), 0, -1):
-                go(at, room - often * length, [*chosen, (length, often)])
-                if steps[0] < 0 or len(found) >= FILLINGS:
+            for often in range(min(left[length], rest // length), 0, -1):
+                if sums[at] >> (rest - often * length) & 1:
+                    yield from adding_up(at, rest - often * length, [*chosen, (length, often)])
+
+    for wasted in range(min(waste, room) + 1):
+        if sums[-1] >> (room - wasted) & 1:
+            for chosen in adding_up(len(order), room - wasted, []):
+                if not _dominated(chosen, wasted, left, order):
+                    merged = dict(chosen)
+                    merged[largest] = merged.get(largest, 0) + 1
+                    yield tuple(sorted(merged.items(), reverse=True))
+                if budget[0] <= 0:
                     return
 
-    go(len(order), capacity - largest, [])
-    return [f for _, f in sorted(found, key=lambda x: (x[0], [-n for n, _ in x[1]]))]
-
 
 def least_sequences(counts: dict[int, int], capacity: int) -> int:
     """A bound no packing beats: all tokens, and pieces that cannot share a sequence with one another."""
@@ -159,7 +180,7 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, work: int =
         nonlocal best, size
         if size == floor or budget[0] <= 0:
             return
-        budget[0] -= 1 + len(left)
+        budget[0] -= NODE_WORK + len(left)
         if not left:
             if n_used < size:
                 best, size = list(used), n_used
@@ -173,7 +194,7 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, work: int =
         largest = max(left)
         without = dict(left)
         without[largest] -= 1
-        for filling in fillings(largest, without, capacity, allowed):
+        for filling in fillings(largest, without, capacity, allowed, budget):
             each = min(left[n] // c for n, c in filling)
             loss = capacity - sum(n * c for n, c in filling)
             for times in dict.fromkeys((min(each, allowed // loss) if loss else each, 1)):
@@ -217,11 +238,16 @@ def plan_slots(plan: Plan) -> dict[str, np.ndarray]:
     return dict(zip(("length", "low", "each", "first", "offset"), table.T, strict=True))
 
 
+# A full stop or comma between a letter or digit and white space is a piece of text of its own.  (Some letters beyond these
+# end in a combining mark once normalised or small, and that would belong to the piece.)
+_MARK = re.compile("(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,])(?=[ \\n])")
+
+
 class WordTokenizer:
     """Ids of a text, packed as little-endian unsigned 32-bit integers.
 
-    The vocabulary drops white space and nothing spans it, so the library encodes each different word once; the
-    remembered words are bounded, which changes nothing but time.
+    The vocabulary drops white space and nothing spans it or the border of a word and a mark behind it, so the library
+    encodes each different word once; the remembered words are bounded, which changes nothing but time.
     """
 
     def __init__(self, path: str) -> None:
@@ -231,39 +257,70 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.parting = "<|startoftext|>"
         self.parting_id = self.library.token_to_id(self.parting)
+        self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.library.get_vocab().items():
+            self.ends_word[i] = token.endswith("</w>")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def _cut(self, words: list[str], ids: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> None:
+        packed = ids.tobytes()
+        for w, low, high in zip(words, (4 * lows).tolist(), (4 * highs).tolist(), strict=True):
+            self.young[w] = packed[low:high]
+
     def _learn(self, words: list[str]) -> None:
-        """One call for many words: nothing spans a special token, so it parts them."""
-        plain = [w for w in words if "<|" not in w]
+        """One call for many words: words of letters only are one unit each, whose last token says so; others are parted
+        by a special token, which nothing spans."""
+        letters, plain = [], []
         for w in words:
             if "<|" in w:
                 self.young[w] = self._ids(w).tobytes()
+            elif w.isalpha() and w.lower().isalpha() and is_normalized("NFC", w):
+                letters.append(w)
+            else:
+                plain.append(w)
+        for at in range(0, len(letters), 256):
+            some = letters[at:at + 256]
+            ids = self._ids(" ".join(some))
+            highs = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(highs) == len(some) and highs[-1] == len(ids):
+                self._cut(some, ids, np.concatenate([[0], highs[:-1]]), highs)
+            else:  # the library takes a letter for something else
+                plain += some
         for at in range(0, len(plain), 256):
             some = plain[at:at + 256]
             ids = self._ids(self.parting.join(some))
-            marks = 4 * np.flatnonzero(ids == self.parting_id)
-            packed = ids.tobytes()
-            for w, low, high in zip(some, [0, *(marks + 4).tolist()], [*marks.tolist(), len(packed)], strict=True):
-                self.young[w] = packed[low:high]
+            marks = np.flatnonzero(ids == self.parting_id)
+            self._cut(some, ids, np.concatenate([[0], marks + 1]), np.concatenate([marks, [len(ids)]]))
 
     def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
+        words = _MARK.sub(r" \1", text).replace("\n", " ").split(" ")
         if len(self.young) > REMEMBERED_WORDS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        new = []
+        new, small = [], []
         for w in set(words).difference(young):
             if w in old:
                 young[w] = old[w]
+            elif w.isascii() and not w.islower():
+                small.append(w)
             else:
                 new.append(w)
-        if new:
-            self._learn(new)
+        # the vocabulary has no capitals: in ASCII a word and its small form have the same ids
+        forms = {w: w.lower() for w in small if "<|" not in w}
+        new += [w for w in small if w not in forms]
+        unknown = set(forms.values()).difference(young, new)
+        for w in [*unknown]:
+            if w in old:
+                young[w] = old[w]
+                unknown.remove(w)
+        if new or unknown:
+            self._learn([*new, *unknown])
+        for w, form in forms.items():
+            young[w] = young[form]
         return b"".join(map(young.__getitem__, words))
 
 

@@ -136,6 +136,28 @@ def test_plan_is_optimal_on_small_cases():
     assert better  # the search does beat best fit
 
 
+def test_fillings_come_by_waste_and_none_is_missing():
+    rng = random.Random(11)
+    for _ in range(200):
+        capacity = rng.randrange(8, 40)
+        left = {n: rng.randrange(1, 4) for n in rng.sample(range(1, capacity), rng.randrange(1, 6))}
+        largest = max(left)
+        got = [*packing.fillings(largest, left, capacity, capacity, [10**6])]
+        wastes = [capacity - sum(n * c for n, c in f) for f in got]
+        assert wastes == sorted(wastes) and len(set(got)) == len(got)
+        every, order = [{}], sorted(left)
+        for n in order:
+            every = [{**f, n: c} if c else f for f in every for c in range(left[n] + 1)]
+        want = set()
+        for f in every:
+            room = capacity - largest - sum(n * c for n, c in f.items())
+            if room >= 0 and not packing._dominated(sorted(f.items()), room, left, order):
+                own = collections.Counter(f)
+                own[largest] += 1
+                want.add(tuple(sorted(own.items(), reverse=True)))
+        assert set(got) == want
+
+
 def check_packing(rows, texts, capacity):
     from tokenizers import Tokenizer
 
@@ -181,5 +203,7 @@ def test_words_equal_whole_texts():
 
     own, library, rng = packing.WordTokenizer(WORDS), Tokenizer.from_file(WORDS), random.Random(6)
     texts = ["".join(rng.choice(LETTERS + "\x85\x1c\x0b'sS") for _ in range(40)) for _ in range(1000)]
+    texts += ["".join(rng.choice("aB1²_é.,.,.,  \n\u0301İſ'sⅣ…") for _ in range(30)) for _ in range(2000)]
+    texts += [" ".join(rng.choice(["Word", "word", "WORD.", "word,", "wörd", "Wörd.", "x1.", "İ.", "ǅ,", "don't."]) for _ in range(9)) for _ in range(200)]
     for text in [*texts, "a<|endoftext|>b  <|startoftext|> I'll 'S", *(t or "" for _, t in TEXTS)]:
         assert own(text) == packed(library.encode(text, add_special_tokens=False).ids), text
