@@ -43,6 +43,14 @@ def text_of(df: DataFrame) -> Column:
     return F.coalesce(df["text"].cast("string"), F.lit(""))
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -229,16 +229,23 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are: of equal texts the one with the smallest ``doc_id``."""
-    named = docs.withColumn("_digest", F.sha2(F.regexp_replace(text_of(docs), ASCII_SPACE, " "), 256))
+    """The rows of ``docs`` that stay, all columns as they are: of equal texts the one with the smallest ``doc_id``.
+
+    Columns may have any name: the row travels as one struct.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select(
+        whole.alias("row"), F.sha2(F.regexp_replace(text_of(docs), ASCII_SPACE, " "), 256).alias("digest"),
+        docs["doc_id"].cast("long").alias("id"),
+    )
     verdict = stored(dedup(docs))
-    same = named["_digest"].eqNullSafe(F.col("_d")) & named["doc_id"].cast("long").eqNullSafe(F.col("_i"))
+    same = F.col("digest").eqNullSafe(F.col("its_digest")) & F.col("id").eqNullSafe(F.col("its_id"))
 
     def keys(rows: DataFrame) -> DataFrame:
-        return rows.select(F.col("text_sha256").alias("_d"), F.col("doc_id").alias("_i")).distinct()
+        return rows.select(F.col("text_sha256").alias("its_digest"), F.col("doc_id").alias("its_id")).distinct()
 
     gone, repeated = keys(verdict.where("not kept")), keys(verdict.where("kept and first_rows > 1"))
     single = named.join(gone.unionByName(repeated), same, "left_anti")
-    nth = F.row_number().over(Window.partitionBy("_digest", "doc_id").orderBy(F.lit(1)))
-    first = named.join(repeated, same, "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-    return single.unionByName(first).drop("_digest")
+    nth = F.row_number().over(Window.partitionBy("digest", "id").orderBy(F.lit(1)))
+    first = named.join(repeated, same, "left_semi").withColumn("nth", nth).where("nth = 1").drop("nth")
+    return single.unionByName(first).select("row.*")

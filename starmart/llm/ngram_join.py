@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import attach, shuffle_width, stored, text_of
+from starmart.llm.common import attach, ship, shuffle_width, stored, text_of, unused
 from starmart.llm.links import linked_components
 
 N, SIMILAR = 5, 75
@@ -101,9 +101,10 @@ def _pack(rows: list[tuple]) -> pa.RecordBatch:
 def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], ranges: int) -> Iterator[tuple]:
     """Packed rows of a chunk: each n-gram to the place of its hash range, lists and documents to the chunk's own."""
     home = int(chunk * 0x9E3779B1 % ranges)
-    known = np.array([i is not None for i in ids])
+    known = np.array([i is not None for i, _ in ids])
     marks = b"".join(blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
-    packed_ids = np.array([0 if i is None else i for i in ids], "<i8").tobytes() + known.tobytes()
+    packed_ids = np.array([0 if i is None else i for i, _ in ids], "<i8").tobytes() + known.tobytes()
+    packed_ids += np.array([key for _, key in ids], "<i8").tobytes()
     yield home, DOCS, chunk, packed_ids, marks, np.array([len(s) for s in sets], "<u4").tobytes()
     every = np.concatenate(sets)
     docs = np.repeat(np.arange(len(sets), dtype="<u2"), [len(s) for s in sets])
@@ -173,7 +174,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _pack([(place, row[1], row[2], _thin(arrays[i][keep]), docs, counts)])
 
 
-_SETS = "doc_id long, n_shingles long, mark binary, shared binary, often binary"
+_SETS = "doc_id long, text_key long, n_shingles long, mark binary, shared binary, often binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +184,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.frombuffer(head[5], "<u4")
         n = len(sizes)
         ids = np.frombuffer(head[3][: 8 * n], "<i8")
-        known = np.frombuffer(head[3][8 * n:], bool)
+        known = np.frombuffer(head[3][8 * n:9 * n], bool)
+        keys = np.frombuffer(head[3][9 * n:], "<i8")
         hashes, docs, often = [], [], []
         for kind in (SINGLE, LISTED):
             for r in rows:
@@ -206,35 +208,42 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = int(cuts[k]), int(cuts[k + 1])
             able = sizes[k] > 0 and 100 * (b - a) >= SIMILAR * int(sizes[k])
             out.append((
-                int(ids[k]) if known[k] else None, int(sizes[k]), head[4][16 * k:16 * k + 16],
+                int(ids[k]) if known[k] else None, int(keys[k]), int(sizes[k]), head[4][16 * k:16 * k + 16],
                 _thin(h[a:b]) if able else None, o[a:b].astype("<u4").tobytes() if able else None,
             ))
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         for low in range(0, n, 500):
             columns = zip(*out[low:low + 500], strict=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                ["doc_id", "n_shingles", "mark", "shared", "often"],
+                ["doc_id", "text_key", "n_shingles", "mark", "shared", "often"],
             )
 
 
+def text_key(docs: DataFrame) -> Column:
+    """Tells texts of rows that share a ``doc_id`` apart."""
+    return F.xxhash64(text_of(docs))
+
+
 def shared_sets(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, mark (128 bits of the set) and, where the document can link, its
+    """One row per row of ``docs``: doc_id, text_key, n_shingles, mark (128 bits of the set) and, where the document can link, its
     n-grams of frequency two or more (packed, in the global order) and their frequencies."""
     spark = docs.sparkSession
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    ship(spark)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"), text_key(docs).alias("text_key"))
     size = rows.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     ranges = max(shuffle_width(spark), -(-size // RANGE_BYTES))
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, ids, sets, held = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            names = zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), strict=True)
+            for name, text in zip(names, batch.column("text"), strict=True):
                 own = ngrams(text.as_py())
                 if ids and (len(ids) >= CHUNK_DOCS or held + len(own) > CHUNK_NGRAMS):
                     yield _pack(list(_chunk_rows(number, ids, sets, ranges)))
                     number, ids, sets, held = number + 1, [], [], 0
-                ids.append(doc)
+                ids.append(name)
                 sets.append(own)
                 held += len(own)
         if ids:
@@ -336,32 +345,45 @@ def linked_pairs(pairs: DataFrame, sizes: DataFrame, parts: DataFrame) -> DataFr
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, class_size (rows with the same set)."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, class_size (rows with the same set), text_key, and
+    first_key, the least ``text_key`` among the component's rows with its smallest ``doc_id``."""
     sets = stored(shared_sets(docs))
     able = sets.where("shared is not null")
+    name = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))
     classes = stored(able.groupBy("mark").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("class_size"), F.any_value("n_shingles").alias("n_shingles"),
+        F.min(name).alias("first"), F.count(F.lit(1)).alias("class_size"), F.any_value("n_shingles").alias("n_shingles"),
         F.any_value(F.struct("shared", "often")).alias("own"),
-    ).select(F.monotonically_increasing_id().alias("node"), "mark", "first_id", "class_size", "n_shingles", "own.shared", "own.often"))
+    ).select(F.monotonically_increasing_id().alias("node"), "mark", "first", "class_size", "n_shingles", "own.shared", "own.often"))
     sizes = classes.select("node", "n_shingles")
     parts = stored(segments(classes, fragment_cuts(classes)))
     keys = prefixes(classes).withColumn("lack", F.col("size") - F.col("room"))
     linked = linked_components(
         keys, lambda pairs: linked_pairs(pairs, sizes, parts), ("room", "size"), _possible, "lack"
     )
-    placed = classes.select("node", "mark", "first_id", "class_size").join(linked, "node", "left").withColumn(
+    placed = classes.select("node", "mark", "first", "class_size").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    least = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    groups = stored(placed.join(least, "component").select("mark", "class_size", "component_id"))
-    narrow = sets.select("doc_id", "n_shingles", "mark", F.col("shared").isNotNull().alias("able"))
+    least = placed.groupBy("component").agg(F.min("first").alias("least"))
+    groups = stored(placed.join(least, "component").select(
+        "mark", "class_size", F.col("least.doc_id").alias("component_id"), F.col("least.text_key").alias("first_key")
+    ))
+    narrow = sets.select("doc_id", "text_key", "n_shingles", "mark", F.col("shared").isNotNull().alias("able"))
     together = attach(narrow.where("able"), groups, "mark", "class_size", narrow.count())
-    alone = narrow.where("not able").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"))
-    return together.select("doc_id", "n_shingles", "component_id", "class_size").unionByName(alone)
+    alone = narrow.where("not able").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"),
+        "text_key", F.col("text_key").alias("first_key"),
+    )
+    return together.select(alone.columns).unionByName(alone)
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are: of each component those with its smallest ``doc_id``.
-    A row without an id cannot be named as a copy and stays."""
-    gone = link_documents(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """The rows of ``docs`` that stay, all columns as they are: of each component the one with the smallest ``doc_id``.
+
+    Rows that share a ``doc_id`` are judged each by its own text; if several of one component share its smallest
+    ``doc_id``, the text with the least key stays.  Rows equal in ``doc_id`` and text have one verdict.  A row without an id
+    cannot be named as a copy and stays.
+    """
+    copies = link_documents(docs).where("doc_id <> component_id or text_key <> first_key")
+    gone = copies.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct().alias(unused("gone", docs))
+    names = [F.col(f"{unused('gone', docs)}.{c}") for c in ("id", "key")]
+    return docs.join(gone, (docs["doc_id"].cast("long") == names[0]) & (text_key(docs) == names[1]), "left_anti")

@@ -19,7 +19,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link_documents(documents(spark, sf_dir)).drop("class_size")
+    return ngram_join.link_documents(documents(spark, sf_dir)).drop("class_size", "text_key", "first_key")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

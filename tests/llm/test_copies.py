@@ -10,7 +10,7 @@ from conftest import SF
 from starmart.llm import exact_dedup, line_dedup, links, ngram_join
 from starmart.llm.queries import ORACLES, QUERIES
 
-from .conftest import TEXTS, frame
+from .conftest import BASE, NEAR, TEXTS, frame, words
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,6 +106,28 @@ def test_join_of_odd_rows(docs, nothing):
     assert 1 in ids and not {2, 3, 4, 5, 10, 12, 15} & set(ids) and {6, 7, 8, 14} <= set(ids) and ids[None] == 2
 
 
+def test_stages_lose_no_row_and_no_column(spark):
+    """Rows that share an id are judged each by its own text, and columns may have any name."""
+    from pyspark.sql import functions as F
+
+    other = words(900, 40)
+    rows = [(1, BASE), (2, NEAR), (2, other), (3, other + " more"), (3, "a text of its own, not like any other"), (4, NEAR + " x"),
+            (1, NEAR.replace("changed", "altered")), (5, None), (None, BASE)]
+    names = ["_digest", "_nth", "_d", "_i", "_gone", "gone", "row", "digest", "id", "nth", "its_id", "text_key", "with.dot"]
+    clashing = frame(spark, rows).withColumns({n: F.lit(n) for n in names})
+    left = ngram_join.keep_one_each(clashing)
+    kept = left.collect()
+    assert left.columns == clashing.columns and all(r[n] == n for r in kept for n in names)
+    texts = {(r.doc_id, r.text) for r in kept}
+    first = {(1, t) for i, t in texts if i == 1}
+    assert len(first) == 1  # of two near copies under the smallest id one stays
+    assert texts - first == {(2, other), rows[4], (5, None), (None, BASE)} and len(kept) == 5
+    again = exact_dedup.keep_first(clashing.unionByName(clashing))
+    kept = again.collect()
+    assert again.columns == clashing.columns and all(r[n] == n for r in kept for n in names)
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted(rows[:-1], key=repr)  # BASE stays under id 1
+
+
 def test_join_of_near_copies(spark):
     """A chain of near copies, a group of many, and a passage that unlike texts share."""
     rng, vocabulary = random.Random(8), [f"v{i}" for i in range(4000)]
