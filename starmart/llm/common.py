@@ -39,7 +39,9 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def text_of(df: DataFrame) -> Column:
-    """The text column, NULL as the empty text."""
+    """The text column, NULL as the empty text.  Every operator begins with it, so it sees to it that executors can run
+    the operator's Python."""
+    ship(df.sparkSession)
     return F.coalesce(df["text"].cast("string"), F.lit(""))
 
 

@@ -34,7 +34,7 @@ from starmart.llm.common import ASCII_SPACE, attach, shuffle_width, stored, text
 BUCKET_KEYS = 50_000
 SLOT = 4
 MAX_KICKS = 200
-INDEX_SCHEMA = "bucket int, text_sha256 string, keep_id long, group_size long, first_rows long"
+INDEX_SCHEMA = "bucket int, text_sha256 string, keep_id long, group_size long, first_rows long, stale boolean"
 
 
 class CuckooFilter:
@@ -108,18 +108,22 @@ class BucketIndex:
                     found[2] += first_rows
                 return
             self.false_hits += 1
-        self.keys[digest] = [doc_id, rows, first_rows]
+        self.keys[digest] = [doc_id, rows, first_rows, False]
         if not self.filter.insert(digest):
             self._resize()
 
-    def delete(self, digest: str, rows: int) -> None:
-        """Take ``rows`` rows of a live digest away; the last one takes the digest out of filter and keys."""
+    def delete(self, digest: str, rows: int, doc_id: int | None = None, first_rows: int = 0) -> None:
+        """Take ``rows`` rows of a live digest away, ``first_rows`` of them with the least id ``doc_id``.  The last one takes
+        the digest out of filter and keys; a group that lives on without any row of its ``keep_id`` is stale."""
         if digest not in self.filter or (found := self.keys.get(digest)) is None:
             return
         found[1] -= rows
         if found[1] <= 0:
             del self.keys[digest]
             self.filter.delete(digest)
+        elif doc_id == found[0]:
+            found[2] -= first_rows
+            found[3] = found[3] or found[2] <= 0
 
     def _resize(self) -> None:
         slots = self.filter.slots
@@ -138,6 +142,7 @@ class BucketIndex:
             "keep_id": pd.array([v[0] for v in self.keys.values()], "Int64"),
             "group_size": np.array([v[1] for v in self.keys.values()], "int64"),
             "first_rows": np.array([v[2] for v in self.keys.values()], "int64"),
+            "stale": np.array([v[3] for v in self.keys.values()], bool),
         })
 
 
@@ -174,10 +179,11 @@ def _run_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for digest, doc, rows, first, step in zip(
                 part["text_sha256"], ids, part["group_size"], part["first_rows"], part["step"], strict=True
             ):
+                doc = None if doc is pd.NA else int(doc)
                 if step == 2:
-                    index.delete(digest, rows)
+                    index.delete(digest, int(rows), doc, int(first))
                 else:
-                    index.insert(digest, None if doc is pd.NA else int(doc), int(rows), int(first))
+                    index.insert(digest, doc, int(rows), int(first))
     if bucket is not None:
         yield index.rows(bucket)
 
@@ -197,24 +203,33 @@ def _buckets(spark, rows: int) -> int:
 
 
 def build_index(digest_rows: DataFrame, rows: int) -> DataFrame:
-    """The index of live digests: bucket, text_sha256, keep_id, group_size, first_rows (rows that carry ``keep_id``)."""
+    """The index of live digests: bucket, text_sha256, keep_id, group_size, first_rows (rows that carry ``keep_id``), stale."""
     combined = digest_rows.mapInArrow(
         _combine, "text_sha256 string, keep_id long, group_size long, first_rows long, step int"
     )
     return _in_buckets(combined, _buckets(digest_rows.sparkSession, rows))
 
 
-def update_index(index: DataFrame, added: DataFrame | None, removed: DataFrame | None, rows: int) -> DataFrame:
-    """``index`` after the rows of ``added`` came and those of ``removed`` went (both as ``digests`` gives them).
+def update_index(index: DataFrame, live: DataFrame, added: DataFrame | None, removed: DataFrame | None, rows: int) -> DataFrame:
+    """``index`` after the rows of ``added`` came and those of ``removed`` went; ``live`` are all rows that are there then
+    (all three as ``digests`` gives them).
 
-    Taking rows away lowers a group's size; the ``keep_id`` of a group that lives on stays as it is.
+    A group that lost all rows of its ``keep_id`` but lives on is looked up in ``live``; all others follow from the changes.
     """
     schema = "text_sha256 string, keep_id long, group_size long, first_rows long, step int"
     parts = index.select("text_sha256", "keep_id", "group_size", "first_rows", F.lit(0).alias("step"))
     for step, more in ((1, added), (2, removed)):
         if more is not None:
             parts = parts.unionByName(more.mapInArrow(_combine, schema).withColumn("step", F.lit(step)))
-    return _in_buckets(parts, _buckets(index.sparkSession, rows))
+    after = stored(_in_buckets(parts, _buckets(index.sparkSession, rows)))
+    stale = after.where("stale")
+    by_id = live.join(stale.select("text_sha256"), "text_sha256", "left_semi").groupBy("text_sha256", "doc_id").agg(
+        F.count(F.lit(1)).alias("n"))
+    firsts = by_id.groupBy("text_sha256").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n")).alias("first"))
+    mended = stale.drop("keep_id", "first_rows").join(firsts, "text_sha256").select(
+        "bucket", "text_sha256", F.col("first.doc_id").alias("keep_id"), "group_size", F.col("first.n").alias("first_rows"),
+        F.lit(False).alias("stale"))
+    return after.where("not stale").unionByName(mended)
 
 
 def dedup(docs: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import text_of
 
 HELD_OUT = 2
+SAMPLE_SHARES = 64  # in which a language's rows are looked through
 SAMPLE_PER_LANGUAGE, SAMPLE_ROWS, TRAINING_CHARS = 800, 8000, 20_000
 BUCKETS, PRIOR = 1 << 17, 0.2
 FLOOR, SWITCH = -4.0, 12.0
@@ -222,8 +223,11 @@ def learn(docs: DataFrame) -> Model:
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
         & (F.length("_text") <= TRAINING_CHARS) & (F.length("_text") > 0)
     )
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = usable.select("doc_id", "lang", nth.alias("_nth")).where(F.col("_nth") <= SAMPLE_PER_LANGUAGE)
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    some = Window.partitionBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_SHARES))).orderBy(*order)
+    first = usable.select("doc_id", "lang", F.row_number().over(some).alias("_nth")).where(F.col("_nth") <= SAMPLE_PER_LANGUAGE)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(*order))  # of SAMPLE_PER_LANGUAGE from each share at most
+    picked = first.select("doc_id", "lang", nth.alias("_nth")).where(F.col("_nth") <= SAMPLE_PER_LANGUAGE)
     picked = picked.orderBy("_nth", "lang", "doc_id").limit(SAMPLE_ROWS).select("doc_id").distinct()
     rows = usable.join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "_text").limit(SAMPLE_ROWS)
     got = rows.select("_text", F.col("lang").cast("string").alias("lang")).toPandas()

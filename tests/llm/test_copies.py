@@ -51,13 +51,22 @@ def test_dedup_of_odd_rows(docs, nothing):
 
 
 def test_index_lives_on(spark, docs):
+    """After rows came and went the index is the one that would be built from what is left."""
     rows = exact_dedup.digests(docs)
-    index = exact_dedup.build_index(rows, rows.count()).select("text_sha256", "keep_id", "group_size", "first_rows")
-    added, removed = frame(spark, [(0, "one"), (99, "new text")]), frame(spark, [(11, "two words"), (1, TEXTS[0][1])])
-    after = exact_dedup.update_index(index, exact_dedup.digests(added), exact_dedup.digests(removed), 100).collect()
-    got = {r.text_sha256: (r.keep_id, r.group_size) for r in after}
+    index = exact_dedup.build_index(rows, rows.count())
+    added = [(0, "one"), (99, "new text"), (98, "new text"), (None, "two words")]
+    removed = [(11, "two words"), (1, TEXTS[0][1]), (2, TEXTS[0][1]), (98, "new text"), (5, TEXTS[5][1])]
+    left = list(TEXTS) + added
+    for r in removed:
+        left.remove(r)
+    live, came, went = (exact_dedup.digests(frame(spark, r)) for r in (left, added, removed))
+    after = exact_dedup.update_index(index, live, came, went, 100)
+    anew = exact_dedup.build_index(live, len(left))
+    columns = ["text_sha256", "keep_id", "group_size", "first_rows", "stale"]
+    assert sorted(map(str, after.select(columns).collect())) == sorted(map(str, anew.select(columns).collect()))
+    got = {r.text_sha256: (r.keep_id, r.group_size) for r in after.collect()}
     assert got[digest("one")] == (0, 3) and got[digest("new text")] == (99, 1)
-    assert digest("two words") not in got and got[digest(TEXTS[0][1])][1] == 4
+    assert got[digest("two words")][0] == 12 and got[digest(TEXTS[0][1])] == (2, 3)
 
 
 def shingles(text):
