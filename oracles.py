@@ -407,9 +407,10 @@ def reports() -> dict[str, str]:
         "total_revenue:d total_cogs:d gross_profit:d gross_margin_pct:d avg_basket_value:d return_rate:d "
         "discount_penetration:d")
     o["r29_formatted_category_report"] = typed(star(f"""
-        SELECT category, format('{{:,}}', CAST(ROUND(SUM(CASE WHEN isreturn = 0 THEN net END), 0) AS BIGINT)) AS revenue,
+        SELECT ROW_NUMBER() OVER (ORDER BY SUM(CASE WHEN isreturn = 0 THEN net END) DESC, category) AS position, category,
+               format('{{:,}}', CAST(ROUND(SUM(CASE WHEN isreturn = 0 THEN net END), 0) AS BIGINT)) AS revenue,
                format('{{:.2f}}', {r(q('SUM(isreturn)', n) + ' * 100', 2)}::DOUBLE) || '%' AS return_rate
-        FROM cost GROUP BY 1""", "cost"), "category:s revenue:s return_rate:s")
+        FROM cost GROUP BY category""", "cost"), "position:b category:s revenue:s return_rate:s")
     return o
 
 
@@ -723,9 +724,98 @@ def operators() -> dict[str, str]:
         f"{ords} SELECT o_orderkey, v, COALESCE({q(f'v - {lag}', lag)}, 0) AS drift FROM x", "o_orderkey:b v:d drift:d")
     o["clustered_sales"] = typed(star(
         "SELECT productid, COUNT(*) AS lines, SUM(net) AS net FROM fact GROUP BY 1", "fact"), "productid:b lines:b net:d")
+    unknown = """(SELECT CASE WHEN salesid % 11 = 0 THEN -1 ELSE datekey END AS datekey, productid,
+                  CASE WHEN salesid % 13 = 0 THEN NULL ELSE customerid END AS customerid FROM fact)"""
+    o["clustering_spans"] = typed(star(" UNION ALL ".join(
+        f"""SELECT '{k}' AS key, COUNT(*) AS rows, COUNT(*) - COUNT(CASE WHEN {k} >= 1 THEN 1 END) AS special_rows,
+            MIN(CASE WHEN {k} >= 1 THEN {k} END) AS least, MAX({k}) AS most, TRUE AS narrow FROM {unknown} f"""
+        for k in TABLES["fact_sales"].cluster_by), "fact"), "key:s rows:b special_rows:b least:b most:b narrow:x")
+    o["stream_distinct_sales"] = typed(_layered(star("SELECT salesid, qty, net FROM fact", "fact")), "salesid:b qty:b net:d")
     o["product_totals"] = typed(star("SELECT * FROM prodsum", "prodsum"), "productid:b revenue:d margin:d")
     return o
 
 
+def _layered(sql: str) -> str:
+    """Over sales lines with a key of their own, as the input files have them."""
+    key = """CAST('0x' || left(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+        CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT))), 15) AS BIGINT)"""
+    return sql.replace("l_orderkey AS salesid", f"{key} AS salesid, l_orderkey AS its_order")
+
+
+def _cleaned(table: str, source: str) -> str:
+    """The clean columns of a table: types as declared, empty texts NULL; and what the input files change."""
+    cols = []
+    for name, _, kind in TABLES[table].columns:
+        e = f"NULLIF({name}, '')" if kind == "string" else name
+        if table == "fact_sales":
+            e = {"payment": "NULLIF(payment, 'Cash')", "hour": "CASE WHEN its_order % 1000 = 1 THEN NULL ELSE hour END"}.get(name, e)
+        cols.append(f"CAST({e} AS {'VARCHAR' if kind == 'string' else kind}) AS {name}")
+    return f"SELECT {', '.join(cols)} FROM {source}"
+
+
+def _digest(table: str, source: str) -> str:
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in TABLES[table].names)
+    return f"""SELECT '{table}' AS table_name, COUNT(*) AS rows, CAST(SUM(CAST(h AS HUGEINT)) AS VARCHAR) AS digest_sum,
+        bit_xor(h) AS digest_xor, TRUE AS matches
+        FROM (SELECT CAST('0x' || left(md5(concat_ws('|', {text})), 15) AS BIGINT) AS h FROM ({_cleaned(table, source)}) c) x"""
+
+
+def layers() -> dict[str, str]:
+    o = {}
+    marts_sql = marts()
+    o["layers_m001"] = _layered(marts_sql["m001_product_category_margin"])
+    o["layers_m003"] = _layered(marts_sql["m003_customer_rfm_segments"])
+    o["layers_silver_fact"] = typed(_layered(star(_cleaned("fact_sales", "fact"), "fact")), _all("fact_sales"))
+    o["layers_rejected"] = typed(_layered(star("""
+        SELECT salesid, 'fact_sales.csv' AS _file_name, TRUE AS from_its_file FROM fact WHERE its_order % 1000 = 1
+        UNION ALL SELECT salesid, 'fact_sales.csv', TRUE FROM fact WHERE its_order % 1000 = 1 AND its_order % 7 = 0""", "fact")),
+        "salesid:b _file_name:s from_its_file:x")
+    dims = {"dim_product": "product", "dim_store": "store", "dim_promotion": "promo"}
+    o["layers_row_counts"] = typed(_layered(star("""
+        SELECT 'fact_sales' AS table_name, 'loaded' AS status,
+               COUNT(*) + COUNT(CASE WHEN its_order % 7 = 0 THEN 1 END) AS bronze_rows, COUNT(*) AS silver_rows FROM fact
+        """ + "".join(f"UNION ALL SELECT '{t}', 'loaded', COUNT(CASE WHEN {TABLES[t].pk} > 0 THEN 1 END), COUNT(*) FROM {c} "
+                      for t, c in dims.items()) +
+        "UNION ALL SELECT 'dim_date', 'missing', NULL, NULL UNION ALL SELECT 'dim_customer', 'missing', NULL, NULL",
+        "fact", *dims.values())), "table_name:s status:s bronze_rows:b silver_rows:b")
+    members = [(t, s[spec.pk]) for t, spec in TABLES.items() for s in spec.special_rows]
+    o["layers_special_members"] = typed("SELECT * FROM (VALUES " + ", ".join(f"('{t}', {k}, 0)" for t, k in members) +
+                                        ") v(table_name, key, added_again)", "table_name:s key:b added_again:b")
+    o["layers_digests"] = typed(_layered(star(
+        _digest("fact_sales", "fact") + " UNION ALL " + _digest("dim_store", "store"), "fact", "store")),
+        "table_name:s rows:b digest_sum:s digest_xor:b matches:x")
+    o["layers_published"] = typed(star("""
+        WITH n AS (SELECT COUNT(DISTINCT region) AS r FROM store)
+        SELECT 'regions' AS name, 'Stores of each region' AS description, r AS written, 2 * r - 1 AS rows FROM n
+        UNION ALL SELECT 'regions_view', 'The same as a view', r, 2 * r - 1 FROM n""", "store"),
+        "name:s description:s written:b rows:b")
+    o["layers_overwrite"] = typed(star(
+        "SELECT storeid, isreturn, COUNT(*) AS lines, SUM(net) AS net FROM fact GROUP BY 1, 2", "fact"),
+        "storeid:b isreturn:b lines:b net:d")
+    o["compacted_sales"] = typed(star("""
+        SELECT storeid, COUNT(*) AS lines, SUM(net) AS net, TRUE AS large_file_kept, 12 AS small_files_rewritten, TRUE AS fewer_files
+        FROM fact GROUP BY 1""", "fact"),
+        "storeid:b lines:b net:d large_file_kept:x small_files_rewritten:b fewer_files:x")
+    o["key_assertions"] = typed(star("""
+        WITH l AS (SELECT l_orderkey AS salesid, l_linenumber AS line, l_partkey + 1 AS productid,
+                          CASE WHEN l_orderkey % 13 <> 0 THEN o_custkey + 1 END AS customerid
+                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+        a AS (SELECT 'no nulls' AS assertion, 'salesid' AS column_name, COUNT(*) - COUNT(salesid) AS violations FROM l
+              UNION ALL SELECT 'no nulls', 'productid', COUNT(*) - COUNT(productid) FROM l
+              UNION ALL SELECT 'no nulls', 'customerid', COUNT(*) - COUNT(customerid) FROM l
+              UNION ALL SELECT 'unique', 'salesid, line', COUNT(*) - COUNT(DISTINCT (salesid, line)) FROM l
+              UNION ALL SELECT 'unique', 'salesid', COUNT(*) - COUNT(DISTINCT salesid) FROM l)
+        SELECT *, violations = 0 AS holds FROM a""", "fact"), "assertion:s column_name:s violations:b holds:x")
+    o["maintained_layers"] = typed(star("""
+        SELECT 'fact_sales' AS table_name, 'clustered' AS status, 2 AS snapshots_removed, COUNT(*) AS rows FROM fact
+        UNION ALL SELECT 'dim_store', 'clustered', 2, COUNT(*) FROM store
+        UNION ALL SELECT 'broken', 'failed', 0, NULL""", "fact", "store"),
+        "table_name:s status:s snapshots_removed:b rows:b")
+    o["table_statistics"] = typed(star(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(MIN({c}) AS DOUBLE) AS least, CAST(MAX({c}) AS DOUBLE) AS most, COUNT(*) - COUNT({c}) AS nulls FROM fact"
+        for c in ("salesid", "productid", "qty", "net", "isreturn", "hour")), "fact"), "column_name:s least:d most:d nulls:b")
+    return o
+
+
 def all_oracles(min_date: str) -> dict[str, str]:
-    return {**marts(), **reports(), **margins(), **quality(min_date), **operators()}
+    return {**marts(), **reports(), **margins(), **quality(min_date), **operators(), **layers()}

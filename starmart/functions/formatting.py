@@ -34,10 +34,8 @@ def bar(c: str | Column, per_block: int = 2, block: str = "█") -> Column:
 def format_report(
     df: DataFrame, money_cols: Iterable[str] = (), pct_cols: Iterable[str] = (), limit: int | None = None
 ) -> DataFrame:
-    """Format chosen columns for printing; other columns are left alone.
-
-    The position column asked for on printed tables is added by :func:`numbered`.
-    """
+    """Format chosen columns for printing; other columns are left alone.  Positions come from
+    ``operators.ordered.numbered``, before the limit and before money has become text."""
     money_cols, pct_cols = set(money_cols), set(pct_cols)
     if limit is not None:
         df = df.limit(limit)
@@ -48,7 +46,3 @@ def format_report(
         ]
     )
 
-
-def numbered(rows: Iterable) -> list[tuple]:
-    """1-based positions for rows already fetched for printing."""
-    return [(i, *r) for i, r in enumerate(rows, start=1)]

@@ -17,6 +17,7 @@ from starmart.sources.scratch import materialize
 FEW_PAIRS = 100_000  # rows of a broadcast, a few MB
 BLOCK_ITEMS = 1_000     # items of one basket that are paired within one join key
 SEED_ITEMS = 256        # items whose pairs give the first lower limit for the top list
+PAIR_BUCKETS = 1 << 21  # counts of the first pass at a support threshold; 16 MB at most are broadcast
 PAIRS_PER_ROW = 50      # expected expansion up to which all pairs are simply counted
 
 
@@ -30,8 +31,8 @@ def basket_items(sales: DataFrame, basket: str, item: str) -> DataFrame:
     return counts.join(sizes, "basket")
 
 
-def pair_counts(items: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """(item_a, item_b, co_occurrence) with ``item_a < item_b``, counting pairs of lines.
+def pair_lines(items: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """(item_a, item_b, n) with ``item_a < item_b`` for every basket that has both: their pairs of lines.
 
     A basket of k items has ``ceil(k / block_items)`` blocks.  An item goes to every cell
     (block pair) its block is part of; two items of different blocks meet only in the cell of
@@ -60,13 +61,27 @@ def pair_counts(items: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
         & (F.col("a.item") < F.col("b.item"))
         & ((F.col("a.own") != F.col("b.own")) | (F.col("a.c1") == F.col("a.c2")))
     )
-    return (
-        a.join(b, meet)
-        .groupBy(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b"))
-        .agg(F.sum(F.col("a.n") * F.col("b.n")).alias("co_occurrence"))
+    return a.join(b, meet).select(
+        F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b"), (F.col("a.n") * F.col("b.n")).alias("n")
     )
 
 
+def pair_counts(items: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """(item_a, item_b, co_occurrence), counting pairs of lines."""
+    return pair_lines(items, block_items).groupBy("item_a", "item_b").agg(F.sum("n").alias("co_occurrence"))
+
+
+def able_pair_lines(items: DataFrame, min_support: int, block_items: int = BLOCK_ITEMS, buckets: int = PAIR_BUCKETS) -> DataFrame:
+    """``pair_lines`` without pairs that provably occur less than ``min_support`` times.
+
+    A first pass counts the pairs by a hash into ``buckets``; of these counts each task hands on at most one a bucket.  A
+    pair cannot occur more often than its bucket, so pairs of lesser buckets are never shuffled.
+    """
+    lines = pair_lines(items, block_items).withColumn("bucket", F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets)))
+    able = lines.groupBy("bucket").agg(F.sum("n").alias("most")).filter(F.col("most") >= min_support).select("bucket")
+    return lines.join(F.broadcast(able), "bucket", "left_semi").drop("bucket")  # at most ``buckets`` whole numbers
+
+
 def _best(pairs: DataFrame, top: int) -> DataFrame:
     return pairs.orderBy(F.col("co_occurrence").desc(), "item_a", "item_b").limit(top)
 
@@ -129,7 +144,12 @@ def pairs(
         expected = paired.agg(F.sum(F.col("k") - 1).alias("ends"), F.count(F.lit(1)).alias("rows")).first()
         if (expected["ends"] or 0) / 2 > pairs_per_row * expected["rows"]:
             paired = _candidates(paired, top, block_items, seed_items)
-    counted = pair_counts(paired, block_items).filter(F.col("co_occurrence") >= min_support)
+    if min_support > 1:
+        able = able_pair_lines(paired, min_support, block_items)
+        counted = able.groupBy("item_a", "item_b").agg(F.sum("n").alias("co_occurrence"))
+    else:
+        counted = pair_counts(paired, block_items)
+    counted = counted.filter(F.col("co_occurrence") >= min_support)
     all_baskets = items.agg(F.count_distinct("basket").alias("n")).scalar()
     popularity = items.groupBy("item").agg(F.count(F.lit(1)).alias("baskets"))
     if top is not None:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from starmart.functions import measures as m
 from starmart.functions.banding import Banding
-from starmart.operators.ordered import SINGLE_TASK_ROWS, global_ntile
+from starmart.operators.ordered import SINGLE_TASK_ROWS, fits_one_task
+from starmart.operators.tiles import Ranking, tile_columns
 from starmart.sources.scratch import materialize
 
 
@@ -47,22 +48,22 @@ def rfm_scores(
     monetary: str = "monetary",
     tiles: int = 5,
     max_rows: int | None = None,
-    partitions: int | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``recency_score``, ``frequency_score``, ``monetary_score`` (higher is better).
 
-    Equal metrics are ordered by customer so that the tiles do not depend on the run.
+    Equal metrics are ordered by customer so that the tiles do not depend on the run.  Beyond ``single_task_rows`` nothing
+    is sorted or stored: the tiles' boundaries are selected and each row's tiles read off them.
     """
-    opts = dict(max_rows=max_rows, partitions=partitions, single_task_rows=single_task_rows)
-    scored = customers
-    for metric, order, name in (
-        (recency, F.col(recency).desc(), "recency_score"),
-        (frequency, F.col(frequency).asc(), "frequency_score"),
-        (monetary, F.col(monetary).asc(), "monetary_score"),
-    ):
-        scored = global_ntile(scored, [order, F.col(customer).asc()], tiles, name, **opts)
-    return scored
+    rankings = {
+        "recency_score": Ranking(recency, descending=True), "frequency_score": Ranking(frequency), "monetary_score": Ranking(monetary),
+    }
+    if not fits_one_task(max_rows, single_task_rows):
+        return customers.withColumns(tile_columns(customers, customer, rankings, tiles))
+    return customers.withColumns({
+        name: F.ntile(tiles).over(Window.orderBy(F.desc(r.metric) if r.descending else F.asc(r.metric), F.asc(customer)))
+        for name, r in rankings.items()
+    })
 
 
 def rfm_segment(r: str = "recency_score", f: str = "frequency_score", mo: str = "monetary_score") -> Column:
@@ -96,21 +97,18 @@ def rfm(
     dates: DataFrame,
     as_of: date,
     tiles: int = 5,
-    partitions: int | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Customers with recency, frequency, monetary value, margin, scores and segment.
 
-    The customers are stored once: three sorts follow, and their counted number, not an
+    The customers are stored once: they are read several times for the tiles, and their counted number, not an
     assumption about the dimension, decides how the tiles are computed.
     """
     base = recency(
         customer_summary(sales, product).filter(F.col("known_orders") > 0), dates, as_of
     ).select("customerid", "recency", F.col("orders").alias("frequency"), "monetary", "margin_total")
     stored, n = materialize(base)
-    scored = rfm_scores(
-        stored, tiles=tiles, max_rows=n, partitions=partitions, single_task_rows=single_task_rows
-    )
+    scored = rfm_scores(stored, tiles=tiles, max_rows=n, single_task_rows=single_task_rows)
     return scored.withColumn("segment", rfm_segment())
 
 

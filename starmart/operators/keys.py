@@ -97,6 +97,17 @@ def null_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(cols), "column_name", "nulls")
 
 
+def assertions(df: DataFrame, keys: Sequence[Sequence[str]] = (), filled: Sequence[str] = ()) -> DataFrame:
+    """(assertion, column_name, violations, holds) for unique keys and columns without NULL, as result rows."""
+    nulls = null_profile(df, filled).select(
+        F.lit("no nulls").alias("assertion"), "column_name", F.col("nulls").alias("violations")) if filled else None
+    for cols in keys:
+        row = duplicate_count(df, cols).select(
+            F.lit("unique").alias("assertion"), F.lit(", ".join(cols)).alias("column_name"), F.col("duplicates").alias("violations"))
+        nulls = row if nulls is None else nulls.unionByName(row)
+    return nulls.withColumn("holds", F.col("violations") == 0)
+
+
 def require_unique(df: DataFrame, cols: Sequence[str], what: str) -> None:
     """Raise when the key is duplicated or NULL."""
     bad = duplicate_count(df, cols).first()["duplicates"]

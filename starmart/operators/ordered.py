@@ -135,6 +135,11 @@ def row_numbers(
     )
 
 
+def numbered(df: DataFrame, order: Sequence[str | Column], name: str = "position", **opts) -> DataFrame:
+    """The rows with their 1-based position first, for printing; of any number of rows."""
+    return row_numbers(df, order, name, **opts).select(name, *df.columns)
+
+
 def global_ntile(
     df: DataFrame,
     order: Sequence[str | Column],

@@ -11,7 +11,7 @@ from starmart.functions import measures as m
 from starmart.functions.banding import margin_bucket, margin_bucket_ordinal
 from starmart.functions.formatting import bar
 from starmart.operators.agg_join import share
-from starmart.operators.ordered import quantiles
+from starmart.operators.ordered import quantiles, sample_stddev
 from starmart.sources.star import Star
 
 # Allowed margin in percent points and the tolerance of the stored fraction.
@@ -37,16 +37,12 @@ def margin_stats(star: Star) -> DataFrame:
     """Count, extremes, mean, deviation, median and rule violations."""
     p = priced_products(star)
     n, s = F.count("actual").cast("double"), F.sum("actual").cast("double")
-    # Squares as DECIMAL keep the sum exact; six digits of a percent point are plenty.
-    rough = F.col("actual").cast("decimal(12,6)")
-    sq = F.sum((rough * rough).cast("decimal(28,8)")).cast("double")
-    deviation = F.sqrt(F.greatest(F.try_divide(sq - s * s / n, F.nullif(n - 1, F.lit(0.0))), F.lit(0.0)))
     stats = p.agg(
         F.count(F.lit(1)).alias("total_products"),
         F.min("actual").alias("min_margin_pct"),
         F.max("actual").alias("max_margin_pct"),
         m.rounded(s / n, 6).alias("avg_margin_pct"),
-        m.rounded(deviation, 4).alias("stdev_margin_pct"),
+        m.rounded(sample_stddev("actual"), 4).alias("stdev_margin_pct"),
         F.count_if(F.col("actual") > HIGH).alias("products_above_30pct"),
         F.count_if(F.col("actual") < LOW).alias("products_below_minus10pct"),
         F.count_if((F.col("actual") > HIGH) | (F.col("actual") < LOW)).alias("products_invalid_margin"),

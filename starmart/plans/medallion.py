@@ -38,7 +38,7 @@ def load_bronze(spark: SparkSession, folder: str, layer: str = "bronze") -> list
 
 def rejected(spark: SparkSession, name: str, layer: str = "bronze") -> DataFrame:
     """Bronze rows with cells that did not parse or do not fit the clean type."""
-    return quarantine(spark.table(f"{layer}.{name}"), TABLES[name], CORRUPT)
+    return quarantine(catalog.table(spark, layer, name), TABLES[name], CORRUPT)
 
 
 def clean(df: DataFrame, name: str) -> DataFrame:
@@ -57,14 +57,14 @@ def build_silver(spark: SparkSession, source: str = "bronze", target: str = "sil
     out = []
     for name, _ in catalog.listing(spark, source, exclude=exclude):
         if name in TABLES:
-            rows = catalog.publish(clean(spark.table(f"{source}.{name}"), name), target, name)
+            rows = catalog.publish(clean(catalog.table(spark, source, name), name), target, name)
             out.append((name, rows, "cleaned"))
     return out
 
 
 def ensure_special_members(spark: SparkSession, layer: str, name: str) -> int:
     """Insert the unknown and none members a stored dimension lacks; rows inserted."""
-    stored, spec = spark.table(f"{layer}.{name}"), TABLES[name]
+    stored, spec = catalog.table(spark, layer, name), TABLES[name]
     missing = missing_members(stored, spec)
     n = missing.count()
     if n:

@@ -27,6 +27,7 @@ from starmart.operators.ordered import (
 )
 from starmart.operators.series import centred_avg, drift, moving_avg
 from starmart.plans import reports
+from starmart.plans.layers import raw_rows
 from starmart.plans.layout import cluster
 from starmart.plans.marts import product_totals
 from starmart.plans.medallion import reconcile
@@ -34,6 +35,7 @@ from starmart.schemas import DIM_CUSTOMER, FACT_SALES
 from starmart.sources.delimited import read_csv, write_csv
 from starmart.sources.order_lines import OrderLineStar
 from starmart.sources.scratch import scratch_path
+from starmart.streaming.incremental import load_distinct, stored_batches
 
 
 def dedup_lines(star: OrderLineStar) -> DataFrame:
@@ -251,6 +253,36 @@ def clustered_sales(star: OrderLineStar) -> DataFrame:
     return stored.groupBy("productid").agg(F.count(F.lit(1)).alias("lines"), F.sum("net").alias("net"))
 
 
+def clustering_spans(star: OrderLineStar) -> DataFrame:
+    """Sales clustered into 16 files, every eleventh order without a date and every thirteenth without a customer: the
+    rows, special rows and ends of each key, and whether files cover narrow ranges of its regular members."""
+    path, keys = scratch_path(star.spark), FACT_SALES.cluster_by
+    unknown = star.sales("datekey", "productid", "customerid", "salesid", "net").withColumns({
+        "datekey": F.when(F.col("salesid") % 11 == 0, -1).otherwise(F.col("datekey")),
+        "customerid": F.when(F.col("salesid") % 13 == 0, None).otherwise(F.col("customerid")),
+    })
+    cluster(unknown, keys, 16).write.parquet(path)
+    stored = star.spark.read.parquet(path).select(
+        F.input_file_name().alias("file"), F.expr("stack(3, " + ", ".join(f"'{k}', CAST({k} AS BIGINT)" for k in keys) + ") AS (key, value)"))
+    regular = F.col("value") >= 1
+    files = stored.groupBy("key", "file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(regular).alias("regular"), F.min(F.when(regular, F.col("value"))).alias("least"),
+        F.max(F.when(regular, F.col("value"))).alias("most"))
+    ends = files.groupBy("key").agg(
+        F.sum("rows").alias("rows"), F.sum(F.col("rows") - F.col("regular")).alias("special_rows"), F.min("least").alias("least"),
+        F.max("most").alias("most"), F.sum(F.col("most") - F.col("least")).alias("spans"), F.count("least").alias("files"))
+    narrow = F.col("spans") <= 0.9 * F.col("files") * (F.col("most") - F.col("least"))
+    return ends.select("key", "rows", "special_rows", "least", "most", narrow.alias("narrow"))
+
+
+def stream_distinct_sales(star: OrderLineStar) -> DataFrame:
+    """Sales lines that come twice, streamed from files in several batches and stored once each."""
+    spark, folder, target = star.spark, scratch_path(star.spark), scratch_path(star.spark)
+    write_csv(raw_rows(star, "fact_sales"), folder)
+    load_distinct(spark, folder, FACT_SALES, target, scratch_path(spark), files_per_batch=4)
+    return stored_batches(spark, target).select("salesid", "qty", "net")
+
+
 OPERATORS: dict[str, Callable[[OrderLineStar], DataFrame]] = {
     f.__name__: f for f in (
         dedup_lines, distinct_part_suppliers, income_bands, order_value_deciles, order_positions,
@@ -260,6 +292,7 @@ OPERATORS: dict[str, Callable[[OrderLineStar], DataFrame]] = {
         first_last_purchase, channel_uplift, payment_share, customer_emails, list_line_amounts,
         csv_round_trip, keys_missing_from_large_products, rows_missing_a_dimension, pair_rules,
         order_value_moving_average, order_value_smoothed, order_value_drift, clustered_sales,
+        clustering_spans, stream_distinct_sales,
     )
 } | {
     "product_totals": product_totals,

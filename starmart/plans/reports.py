@@ -13,7 +13,7 @@ from starmart.functions.formatting import format_report
 from starmart.operators.agg_join import aggregate_then_join
 from starmart.operators.customers import new_vs_returning as first_purchase_split
 from starmart.operators.keys import null_profile, orphans
-from starmart.operators.ordered import distribution
+from starmart.operators.ordered import distribution, numbered
 from starmart.operators.series import centred_avg, drift, moving_avg
 from starmart.schemas import CHANNELS, FACT_SALES
 from starmart.sources.star import Star
@@ -279,7 +279,7 @@ def kpi_summary(star: Star) -> DataFrame:
 
 
 def formatted_category_report(star: Star) -> DataFrame:
-    """Revenue and return rate by category as report text."""
+    """Revenue and return rate by category as report text, with the position on the printed table."""
     report = aggregate_then_join(
         star.sales("productid", "net", "isreturn"),
         "productid",
@@ -287,8 +287,9 @@ def formatted_category_report(star: Star) -> DataFrame:
         star.product.select("productid", "category"),
         then_by=["category"],
         then={"revenue": F.sum("net"), "return_rate": m.ratio(F.sum("returned"), F.sum("lines"))},
-    ).orderBy(F.desc("revenue"), "category")
-    return format_report(report, money_cols=["revenue"], pct_cols=["return_rate"])
+    )
+    placed = numbered(report, [F.desc("revenue"), "category"])
+    return format_report(placed, money_cols=["revenue"], pct_cols=["return_rate"])
 
 
 REPORTS: dict[str, Callable[[Star], DataFrame]] = {

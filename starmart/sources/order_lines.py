@@ -207,16 +207,16 @@ class OrderLineStar(Star):
             self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._raw[name]
 
-    def sales(self, *columns: str) -> DataFrame:
+    def sales(self, *columns: str, **more: str) -> DataFrame:
         """Order lines; the orders table is joined only for columns that come from it.  Every
-        line has exactly one order, so leaving the join out changes no row."""
+        line has exactly one order, so leaving the join out changes no row.  ``more`` adds columns of the line itself."""
         columns = columns or tuple(FACT)
         exprs = FACT | MEASURES
         lines = self.raw("lineitem")
         if any(exprs[c][1] for c in columns):
             orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
             lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        return lines.selectExpr(*[f"{exprs[c][0]} AS {c}" for c in columns])
+        return lines.selectExpr(*[f"{exprs[c][0]} AS {c}" for c in columns], *[f"{e} AS {c}" for c, e in more.items()])
 
     def table(self, name: str) -> DataFrame:
         if name == "fact_sales":

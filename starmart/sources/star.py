@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date
 from functools import cached_property
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.schemas import TABLES
+from starmart.sources import catalog
 
 
 @dataclass
@@ -25,8 +27,9 @@ class Star:
     reference_date: date | None = None
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, namespace: str, reference_date: date | None = None) -> Star:
-        return cls(spark, {n: spark.table(f"{namespace}.{n}") for n in TABLES}, reference_date)
+    def from_catalog(cls, spark: SparkSession, namespace: str, reference_date: date | None = None,
+                     tables: Iterable[str] = tuple(TABLES)) -> Star:
+        return cls(spark, {n: catalog.table(spark, namespace, n) for n in tables}, reference_date)
 
     def table(self, name: str) -> DataFrame:
         return self.tables[name]

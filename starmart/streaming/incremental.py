@@ -1,4 +1,4 @@
-"""Incremental bronze loading: only files that were not loaded before.
+"""Incremental bronze loading: only files that were not loaded before, and only keys that were not loaded before.
 
 The typed scan and lineage columns of the batch loader, as a file stream that processes what
 is available and stops.  A full reload stays the default way to load (see ``medallion``).
@@ -6,7 +6,7 @@ is available and stops.  A full reload stays the default way to load (see ``meda
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ from starmart.schemas import TableSpec
 from starmart.sources.delimited import CORRUPT
 
 KEPT_BATCHES = "spark.sql.streaming.numRecentProgressUpdates"
+EVENT_TIME = "_event_time"
 MOST_BATCHES = 100_000  # of one load; their progress is a few hundred bytes each
 
 
@@ -52,3 +53,27 @@ def load_new_files(spark: SparkSession, folder: str, spec: TableSpec, target: st
     if len(progress) >= MOST_BATCHES:
         raise RuntimeError("more micro-batches than are counted; load more files in each")
     return sum(p["numInputRows"] for p in progress)
+
+
+def load_distinct(spark: SparkSession, folder: str, spec: TableSpec, target: str, checkpoint: str, delay: str = "1 day",
+                  event_time: Column | None = None, files_per_batch: int | None = None) -> None:
+    """Add the rows of new files below ``folder`` to ``target``, the first of each key only.
+
+    Keys are remembered until the watermark, ``delay`` behind the latest ``event_time`` (by default when a row came in), has
+    passed them, so state stays bounded; a repeat that comes later than that is a row of its own.  Each micro-batch is a
+    folder named by its number and replaces what an earlier try of the same batch left, so a run that dies while
+    writing leaves no row twice and none out.
+    """
+    rows = stream_csv(spark, folder, spec, files_per_batch).withColumn(
+        EVENT_TIME, F.col("_ingestion_ts") if event_time is None else event_time
+    ).withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark([spec.pk]).drop(EVENT_TIME)
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def stored_batches(spark: SparkSession, target: str) -> DataFrame:
+    """All rows that ``load_distinct`` stored."""
+    return spark.read.option("basePath", target).parquet(target).drop("batch")

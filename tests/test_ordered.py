@@ -1,5 +1,8 @@
 """Distributed windows against plain windows, with ties, NULLs and hot values."""
 
+import math
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -170,3 +173,27 @@ def test_deviation_of_large_means(spark):
     values = [i % 7 for i in range(1000)]
     mean = sum(values) / 1000
     assert abs(got["stdev_v"] - (sum((x - mean) ** 2 for x in values) / 999) ** 0.5) < 1e-4
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(20,4)"])
+def test_tiles_without_sorting(spark, kind):
+    from starmart.operators.tiles import Ranking, tile_columns
+
+    rng = random.Random(len(kind))
+    for n, spread in ((0, 1), (1, 1), (3, 9), (700, 1), (700, 3), (1500, 10**6)):
+        rows = [(i * 3, None if rng.random() < 0.2 else rng.randrange(spread), rng.choice([None, 1, 2, 2, 2, 2])) for i in range(n)]
+        if kind == "double" and n > 100:
+            rows[:4] = [(0, math.nan, 1), (3, math.inf, 1), (6, -math.inf, 1), (9, 0.1 + 0.2, 2)]
+        df = spark.createDataFrame([(i, None if v is None else float(v), w) for i, v, w in rows], "id long, v double, w int")
+        df = df.withColumn("v", F.col("v").cast(kind))
+        rankings = {"a": Ranking("v"), "b": Ranking("v", descending=True), "c": Ranking("w"), "d": Ranking("w", descending=True)}
+        for tiles in (1, 5, 7):
+            got = df.withColumns(tile_columns(df, "id", rankings, tiles))
+            plain = df.withColumns({
+                name: F.ntile(tiles).over(Window.orderBy(F.desc(r.metric) if r.descending else F.asc(r.metric), "id"))
+                for name, r in rankings.items()
+            })
+            picked = ["id", *rankings]
+            assert sorted(got.select(picked).collect()) == sorted(plain.select(picked).collect())
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan

@@ -11,6 +11,7 @@ from starmart.functions import banding, formatting, measures as m
 from starmart.operators import baseline, cleaning
 from starmart.operators.calendar import calendar
 from starmart.operators.customers import rfm
+from starmart.operators.ordered import numbered
 from starmart.plans import marts, reports
 from starmart.schemas import DIM_PROMOTION, DIM_STORE, FACT_SALES
 
@@ -82,7 +83,7 @@ def test_rfm_scores(spark):
     star = tiny_star(spark, sales, customers=[{"customerid": c} for c in range(1, 11)])
     args = (star.sales("customerid", "salesid", "datekey", "productid", "qty", "revenue", "isreturn"),
             star.product, star.date, date(2023, 1, 31))
-    for opts in ({}, dict(partitions=3, single_task_rows=0)):
+    for opts in ({}, dict(single_task_rows=0)):
         got = by(rfm(*args, **opts), "customerid")
         for c in range(1, 11):
             tile = (c + 1) // 2
@@ -244,7 +245,8 @@ def test_report_text(spark):
     got = formatting.format_report(df, ["a"], ["b"]).collect()
     assert tuple(got[0]) == ("x", "1,234,568", "12.34%") or tuple(got[0]) == ("x", "1,234,568", "12.35%")
     assert tuple(got[1]) == ("y", "", "")
-    assert formatting.numbered([("x",)]) == [(1, "x")]
+    placed = numbered(df.withColumn("k", F.upper("k")), [F.desc("a"), "k"], single_task_rows=0)
+    assert placed.columns == ["position", "k", "a", "b"] and {(r[0], r[1]) for r in placed.collect()} == {(1, "X"), (2, "Y")}
 
 
 def test_fill_defaults(spark):
