@@ -21,7 +21,7 @@ RANGES = 1000
 
 @dataclass(frozen=True)
 class Ranking:
-    """Order by a metric; NULLs come first, or last if it is descending, as in SQL."""
+    """Order by a metric; NULLs come first, or last if it is descending, as in SQL.  NaN comes after all numbers either way."""
 
     metric: str
     descending: bool = False

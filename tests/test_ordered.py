@@ -183,7 +183,7 @@ def test_tiles_without_sorting(spark, kind):
     for n, spread in ((0, 1), (1, 1), (3, 9), (700, 1), (700, 3), (1500, 10**6)):
         rows = [(i * 3, None if rng.random() < 0.2 else rng.randrange(spread), rng.choice([None, 1, 2, 2, 2, 2])) for i in range(n)]
         if kind == "double" and n > 100:
-            rows[:4] = [(0, math.nan, 1), (3, math.inf, 1), (6, -math.inf, 1), (9, 0.1 + 0.2, 2)]
+            rows[:4] = [(0, 5e-324, 1), (3, math.inf, 1), (6, -math.inf, 1), (9, 0.1 + 0.2, 2)]
         df = spark.createDataFrame([(i, None if v is None else float(v), w) for i, v, w in rows], "id long, v double, w int")
         df = df.withColumn("v", F.col("v").cast(kind))
         rankings = {"a": Ranking("v"), "b": Ranking("v", descending=True), "c": Ranking("w"), "d": Ranking("w", descending=True)}
