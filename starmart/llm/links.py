@@ -3,8 +3,12 @@
 Nodes with a key in common are candidates.  Pairing all members of a key would grow with the square of a group of near
 copies, so the members of a key are first paired with one leader only, in a few rounds with different leaders.  What is
 verified joins components.  A key whose members all are in one component is done.  In the last round every pair of
-members of an open key that lie in different components is verified, so no relation between two components is lost:
-what is never looked at are pairs that are connected already.  All steps are DataFrame operations.
+members of an open key that lie in different components and can be linked is verified, so no relation between two
+components is lost: what is never looked at are pairs that are connected already.  A caller may give ``finer`` keys for that
+round, of which every linked pair shares one, so that members of one large key are not all compared with each other.  All
+steps are DataFrame operations.
+
+Defined results: a NULL key is no key, a NULL node no node; no members, or none with a key in common, give no rows.
 """
 
 from __future__ import annotations
@@ -50,14 +54,17 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def linked_components(
     members: DataFrame, verify: Callable[[DataFrame], DataFrame], extras: tuple[str, ...] = (),
-    possible: Callable[[str, str], Column] | None = None, prefer: str | None = None,
+    possible: Callable[[str, str], Column] | None = None, prefer: str | None = None, direct: DataFrame | None = None,
+    finer: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
 ) -> DataFrame:
     """(node, component) of all nodes that are linked with another.
 
     ``members`` has key, node (bigint) and the columns ``extras``.  ``verify`` takes distinct pairs (a, b), a < b, and
     returns those that are linked.  ``possible`` gives the condition under which two members of a key may be linked on
     account of it, from the names of two structs of node and extras; a linked pair must pass it at one of its keys.
-    Leaders of the first round have the least ``prefer``.
+    Leaders of the first round have the least ``prefer``.  ``direct`` has pairs (a, b), a < b, to verify beside those of
+    ``members``.  ``finer`` takes the open members (key, x, component) of the last round and returns them twice under other
+    keys, such that of every linked pair of a key one stands in the first and the other in the second result under one key.
     """
     one = F.struct("node", *extras)
 
@@ -75,6 +82,11 @@ def linked_components(
     for turn in range(1, LEADER_ROUNDS + 2):
         if turn <= LEADER_ROUNDS:
             pairs = open_members.where("component <> its").select("x", "y")
+        elif finer:
+            probes, index = finer(open_members.select("key", "x", "component"))
+            both = probes.join(index.select("key", F.col("x").alias("y"), F.col("component").alias("other")), "key")
+            apart = F.col("component") != F.col("other")
+            pairs = both.where(apart & possible("x", "y") if possible else apart)
         else:
             often = open_members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
             main = often.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
@@ -86,6 +98,8 @@ def linked_components(
                 apart & possible("x", "y") if possible else apart
             )
         pairs = admitted(pairs)
+        if turn == 1 and direct is not None:
+            pairs = pairs.unionByName(direct.select("a", "b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs)

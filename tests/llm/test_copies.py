@@ -6,6 +6,7 @@ import random
 import re
 
 from conftest import SF
+from pyspark.sql import functions as F
 
 from starmart.llm import exact_dedup, line_dedup, links, ngram_join
 from starmart.llm.queries import ORACLES, QUERIES
@@ -266,9 +267,59 @@ def test_long_near_copies_share_a_band(spark):
             pairs.append((old, new))
     lines = spark.createDataFrame([(2 * k + j, p[j]) for k, p in enumerate(pairs) for j in range(2)], "node long, line string")
     keys = collections.defaultdict(set)
-    for r in line_dedup.band_keys(lines).collect():
-        keys[r.node].add(r.key)
+    facts = {}
+    for r in line_dedup.sketches(lines).collect():
+        keys[r.node], facts[r.node] = set(r["keys"]), r
     assert sum(bool(keys[2 * k] & keys[2 * k + 1]) for k in range(600)) >= 0.985 * 600
+    both = spark.createDataFrame([(facts[2 * k], facts[2 * k + 1]) for k in range(600)], ["x", "y"])
+    assert both.where(line_dedup._possible("x", "y")).count() >= 0.998 * 600
+
+
+def test_sketches_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(3)
+    lines = ["".join(rng.choice("ab c\u00e9\U0001f600") for _ in range(n)) for n in (0, 1, 4, 5, 6, 40, 300, 2000)]
+    whole = line_dedup._sketches(lines)
+    assert whole[0].tolist() == [len(line_set(x)) for x in lines]
+    for piece in (1, 7, 100):
+        monkeypatch.setattr(line_dedup, "PIECE", piece)
+        assert all((a == b).all() for a, b in zip(whole, line_dedup._sketches(lines), strict=True))
+
+
+def template_lines(n):
+    rng = random.Random(n)
+    return [f"{rng.randrange(10 ** 9):09d} entry of the register on page" for _ in range(n)]
+
+
+def test_lines_of_one_template_are_not_all_compared(spark, monkeypatch):
+    """Bands of hundreds of lines that are not linked: few pairs are verified, and the answer is that of brute force."""
+    lines = template_lines(1500)
+    lines += [x.replace("register", "registry") for x in lines[::50]]  # near copies
+    docs = frame(spark, list(enumerate(lines)))
+    seen, check = [], line_dedup.near_pairs
+    monkeypatch.setattr(line_dedup, "near_pairs", lambda pairs, own: seen.append(pairs.count()) or check(pairs, own))
+    roots = components([line_set(x) for x in lines])
+    for paired in (line_dedup.PAIRED, 1):  # 1: leaders and rare shingles alone
+        monkeypatch.setattr(line_dedup, "PAIRED", paired)
+        seen.clear()
+        rows = {r.doc_id: r.keep_doc_id for r in line_dedup.dedup_lines(docs).collect()}
+        assert sum(seen) < 20 * len(lines)
+        assert all(roots[i] == roots[k] for i, k in rows.items())
+        assert len(set(roots)) <= len(set(rows.values())) <= 1.01 * len(set(roots))
+
+
+def test_rare_shingles_bring_linked_lines_together(spark):
+    lines = template_lines(300)
+    lines += [x[:-2] for x in lines[::7]] + [x + " nine" for x in lines[::11]]
+    table = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    rows = table.select(F.lit(1).cast("long").alias("key"), F.struct("node").alias("x"), F.col("node").alias("component"))
+    keys = [collections.defaultdict(set), collections.defaultdict(set)]
+    for own, part in zip(keys, line_dedup.by_rare_shingles(rows, table), strict=True):
+        for r in part.collect():
+            own[r.x.node].add(r.key)
+    sets = [line_set(x) for x in lines]
+    linked = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) * 4 >= 3 * len(sets[a] | sets[b])]
+    assert len(linked) > 60
+    assert all(keys[0][a] & keys[1][b] or keys[0][b] & keys[1][a] for a, b in linked)
 
 
 def test_cleaned_texts(docs):
