@@ -38,6 +38,13 @@ def stored(df: DataFrame) -> DataFrame:
     return materialize(df)[0]
 
 
+def release(table: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing reads any more: what was made of it is stored itself."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.dirname(table.inputFiles()[0]))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_of(df: DataFrame) -> Column:
     """The text column, NULL as the empty text.  Every operator begins with it, so it sees to it that executors can run
     the operator's Python."""

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import stored
+from starmart.llm.common import release, stored
 
 LEADER_ROUNDS = 2
 
@@ -45,7 +45,9 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         after = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         then = _mark(after)
         if then == mark:
+            release(after)
             break
+        release(now)
         now, mark = after, then
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
@@ -55,7 +57,7 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def linked_components(
     members: DataFrame, verify: Callable[[DataFrame], DataFrame], extras: tuple[str, ...] = (),
     possible: Callable[[str, str], Column] | None = None, prefer: str | None = None, direct: DataFrame | None = None,
-    finer: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+    finer: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None, few: int = 0,
 ) -> DataFrame:
     """(node, component) of all nodes that are linked with another.
 
@@ -63,8 +65,8 @@ def linked_components(
     returns those that are linked.  ``possible`` gives the condition under which two members of a key may be linked on
     account of it, from the names of two structs of node and extras; a linked pair must pass it at one of its keys.
     Leaders of the first round have the least ``prefer``.  ``direct`` has pairs (a, b), a < b, to verify beside those of
-    ``members``.  ``finer`` takes the open members (key, x, component) of the last round and returns them twice under other
-    keys, such that of every linked pair of a key one stands in the first and the other in the second result under one key.
+    ``members``.  ``finer`` takes the open members (key, x, component) of those keys of the last round that have more than
+    ``few`` members outside their largest component, and returns them twice under other keys, such that of every linked pair of a key one stands in the first and the other in the second result under one key.
     """
     one = F.struct("node", *extras)
 
@@ -78,25 +80,28 @@ def linked_components(
     open_members = stored(members.join(groups.where("low < high"), "key").select(
         "key", one.alias("x"), "y", F.col("node").alias("component"), F.col("y.node").alias("its")
     ))
+    release(members)
     tried = links = parts = None
     for turn in range(1, LEADER_ROUNDS + 2):
         if turn <= LEADER_ROUNDS:
             pairs = open_members.where("component <> its").select("x", "y")
-        elif finer:
-            probes, index = finer(open_members.select("key", "x", "component"))
-            both = probes.join(index.select("key", F.col("x").alias("y"), F.col("component").alias("other")), "key")
-            apart = F.col("component") != F.col("other")
-            pairs = both.where(apart & possible("x", "y") if possible else apart)
         else:
             often = open_members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-            main = often.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-            rest = open_members.join(main, "key").where("component <> main").select(
-                "key", F.col("x").alias("y"), F.col("component").alias("other")
-            )
+            keys = often.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
+                                            (F.sum("n") - F.max("n")).alias("outside"))
             apart = F.col("component") != F.col("other")
-            pairs = open_members.select("key", "x", "component").join(rest, "key").where(
-                apart & possible("x", "y") if possible else apart
-            )
+            able = apart & possible("x", "y") if possible else apart
+            now = open_members.select("key", "x", "component")
+            if finer:
+                keys = stored(keys)
+            main = keys.where(F.col("outside") <= few) if finer else keys
+            rest = now.join(main, "key").where("component <> main").select("key", F.col("x").alias("y"), F.col("component").alias("other"))
+            pairs = now.join(rest, "key").where(able).select("x", "y")
+            many = keys.where(F.col("outside") > few).select("key") if finer else None
+            if finer and many.take(1):
+                probes, index = finer(now.join(many, "key"))
+                index = index.select("key", F.col("x").alias("y"), F.col("component").alias("other"))
+                pairs = pairs.unionByName(probes.join(index, "key").where(able).select("x", "y"))
         pairs = admitted(pairs)
         if turn == 1 and direct is not None:
             pairs = pairs.unionByName(direct.select("a", "b")).distinct()
@@ -118,7 +123,8 @@ def linked_components(
             F.min("component").alias("low"), F.max("component").alias("high"),
             F.min_by(F.struct("x", "component"), F.xxhash64("x.node", F.lit(turn))).alias("leader"),
         ).where("low < high").select("key", F.col("leader.x").alias("y"), F.col("leader.component").alias("its"))
-        open_members = stored(placed.join(still, "key").select("key", "x", "y", "component", "its"))
+        before, open_members = open_members, stored(placed.join(still, "key").select("key", "x", "y", "component", "its"))
+        release(before)
         if not open_members.take(1):
             return parts
     raise AssertionError("the last round returns")
