@@ -32,7 +32,7 @@ def test_cuckoo_filter_takes_and_gives_back():
     assert all(n in index.filter for n in names[1::2])
     assert sum(n in index.filter for n in names[::2]) < 20  # chance agreements only
     index.insert(names[1], 0, 2, 2)
-    assert index.keys[names[1]] == [0, 3, 2]
+    assert index.keys[names[1]] == [0, 3, 2, False]
 
 
 def test_dedup_of_odd_rows(docs, nothing):
@@ -165,7 +165,7 @@ def test_many_per_chunk_and_range():
     import numpy as np
 
     sets = [np.unique(np.random.default_rng(k % 7).integers(0, 1 << 63, 50, dtype="uint64")) for k in range(200)]
-    rows = list(ngram_join._chunk_rows(3, list(range(200)), sets, 5))
+    rows = list(ngram_join._chunk_rows(3, [(k, k) for k in range(200)], sets, 5))
     back = {r.doc_id: r for b in ngram_join._sets(_through(rows)) for r in b.to_pandas().itertuples()}
     assert len(back) == 200
     for k, s in enumerate(sets):
