@@ -71,6 +71,35 @@ def test_long_texts_score_in_blocks(model):
     assert np.isclose(model.logit(words), np.maximum(top, 0) @ model.weight + model.bias, atol=1e-4)
 
 
+def plain_logit(model, words):
+    """The classifier window by window: sums of hashed embeddings, every filter at every place, largest response, logistic unit."""
+    embedded = []
+    for w in words:
+        parts = (w, "<" + w[:4], w[-4:] + ">")
+        embedded.append(sum(model.embedding[model.row[zlib.crc32(p.encode()) % toxicity.BUCKETS]].astype(float) for p in parts))
+    embedded += [np.zeros(toxicity.SIZE)] * (max(toxicity.WIDTHS) - len(embedded))
+    total, unit = float(model.bias), 0
+    for width, own in zip(toxicity.WIDTHS, model.filters, strict=True):
+        for f in range(toxicity.FILTERS):
+            best = max(
+                sum(float(embedded[at + k] @ own[k, :, f]) for k in range(width)) for at in range(len(embedded) - width + 1)
+            )
+            total += max(best + float(model.shift[unit]), 0.0) * float(model.weight[unit])
+            unit += 1
+    return total
+
+
+def test_scores_equal_a_plain_forward_pass(model):
+    texts = [t for t, _ in made_texts(12, 3)] + ["", "idiot", "the moron", "never seen words", "Straße déjà 東京 idiot"]
+    for text in texts:
+        words = toxicity.words_of(text)
+        want = plain_logit(model, words)
+        assert np.isclose(model.logit(words), want, atol=1e-3), text[:50]
+        limit = model.thresholds.get(toxicity.language_of(words), model.thresholds[""])
+        odds = np.exp(want - limit) * toxicity.PASS_MARK / (1 - toxicity.PASS_MARK)
+        assert np.isclose(model.score(text), odds / (1 + odds), atol=1e-3)
+
+
 def test_nothing_to_learn_from(spark, docs, nothing):
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     rows = toxicity.toxicity(docs, labels).collect()
@@ -196,6 +225,35 @@ def test_formats_at_any_share_of_unlabelled_credentials(share):
     assert not any(map(known.is_secret, plain))
 
 
+def test_planted_formats_over_a_whole_table(spark):
+    """Precision and recall of ``format`` spans: keys of formats near the base ones, without a label and outside the base
+    patterns, planted among the texts of a whole table, beside labelled ones and long runs that are no credentials."""
+    rng = random.Random(5)
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    hexes, caps = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    rows, hidden, plain = [], set(), set()
+    for i, text in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").toPandas().itertuples(index=False):
+        text = text or ""
+        if i % 3 == 0:  # labelled: the base patterns find these
+            text += f" key AKIA{make(caps, 16)} sum {make(hexes, 40)}"
+        if i % 10 == 1:
+            value = f"ASIA{make(caps, 16)}" if i % 20 == 1 else make(hexes, 22)
+            if secret_scan.MIXED.search(value):
+                hidden.add((i, len(text) + 5, len(text) + 5 + len(value)))
+                text += f" see {value} there"
+        if i % 7 == 2:
+            value = rng.choice([make("0123456789", 18), "-".join(rng.choice(["report", "2024", "table", "page"]) for _ in range(5))])
+            plain.add((i, len(text) + 4))
+            text += f" at {value} end"
+        rows.append((i, text))
+    found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    got = {(r.doc_id, s.start, s.stop) for r in found for s in r.found if s.kind == "format"}
+    recall, precision = len(got & hidden) / len(hidden), len(got & hidden) / len(got)
+    print("recall", recall, "precision", precision, len(hidden), len(got))
+    assert len(hidden) > 90 and recall > 0.8 and precision > 0.9
+    assert not {(i, a) for i, a, _ in got} & plain
+
+
 def test_parts_beside_base_spans_are_candidates():
     left, right, key, tail = "Zx9" * 8, "q7W/" * 6, "AKIA" + "B2C3" * 4, "0123456789abcdef" * 2
     text = f"a {left}{'_'}{tail}/{right}== b {key} {left} c"
