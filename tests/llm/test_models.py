@@ -225,6 +225,52 @@ def test_formats_at_any_share_of_unlabelled_credentials(share):
     assert not any(map(known.is_secret, plain))
 
 
+def scanned_values(spark, found, runs):
+    """A stored scan whose documents hold one value each, some of them twice."""
+    rows = [(1, [(k, 0, len(v), v)], []) for k, values in found.items() for v in [*values, *values[:20]]]
+    rows += [(2, [], [("run", 0, len(v), v)]) for v in [*runs, *runs[:20]]]
+    span = "array<struct<kind:string,start:int,stop:int,value:string>>"
+    return spark.createDataFrame(rows, f"doc_id long, base {span}, runs {span}")
+
+
+def test_formats_are_learned_from_all_values(spark, monkeypatch):
+    """More values than a driver's sample held, and longer ones, count like any other."""
+    rng = random.Random(7)
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    hexes, caps = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    found = {"hex": [make(hexes, 40) for _ in range(1500)], "assign": [make(caps, 260) for _ in range(30)]}
+    runs = sorted({"-".join(rng.choice(["report", "2024", "table", "page"]) for _ in range(6)) for _ in range(5000)})
+    assert len(runs) > 2500
+    scanned, plain = scanned_values(spark, found, runs), secret_scan.Formats(found, runs)
+    known = secret_scan.learn(scanned)
+    for a, b in zip([*known.kinds.values(), known.background], [*plain.kinds.values(), plain.background], strict=True):
+        assert a.step == b.step and a.unseen == pytest.approx(b.unseen)
+    assert list(known.kinds) == ["assign", "hex"] and known.length["assign"] == 260
+    for part in ("centre", "spread", "length", "least"):
+        assert getattr(known, part) == pytest.approx(getattr(plain, part)), part
+    # With fewer nodes than the tree has, every value still counts, and formats are still told apart.
+    monkeypatch.setattr(secret_scan, "MOST_NODES", 300)
+    fewer = secret_scan.learn(scanned)
+    assert fewer.length == pytest.approx(plain.length) and fewer.kinds.keys() == plain.kinds.keys()
+    assert sum(fewer.is_secret(make(hexes, 22)) for _ in range(100)) > 60
+    assert not any(map(fewer.is_secret, runs[:300]))
+
+
+def test_counts_of_a_cut_tree_are_whole(spark, monkeypatch):
+    """Each value starts once, ends once and takes a step for each character, whatever stays off the driver."""
+    monkeypatch.setattr(secret_scan, "MOST_NODES", 50)
+    monkeypatch.setattr(secret_scan, "HELD_COUNTS", 7)
+    seen = {}
+    real = secret_scan.Automaton.__init__
+    monkeypatch.setattr(secret_scan.Automaton, "__init__", lambda self, values=(), steps=None, counts=None: (
+        seen.update(counts=counts, steps=steps), real(self, values, steps, counts))[1])
+    rng = random.Random(3)
+    values = sorted({"".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(8, 30))) for _ in range(400)})
+    secret_scan._automata(spark.createDataFrame([("hex", v) for v in values], "kind string, value string"))
+    assert sum(n for (_, c), n in seen["counts"].items() if c == "") == len(values)
+    assert sum(n for (_, c), n in seen["counts"].items() if c) == sum(map(len, values))
+
+
 def test_planted_formats_over_a_whole_table(spark):
     """Precision and recall of ``format`` spans: keys of formats near the base ones, without a label and outside the base
     patterns, planted among the texts of a whole table, beside labelled ones and long runs that are no credentials."""
