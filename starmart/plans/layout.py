@@ -20,6 +20,8 @@ from starmart.sources import catalog
 MANY_FILES = 20            # compaction pays from here on
 RETENTION_HOURS = 168
 TARGET_FILE_BYTES = 512 << 20
+SORT_BYTES = 256 << 20     # of rows that a task sorts for a clustered file, in memory
+CELL_BYTES = 16            # of a column of such a row
 RANK_BITS = 7              # places per clustering column: 2 ** RANK_BITS
 
 
@@ -33,6 +35,12 @@ def file_count(total_bytes: int, target: int = TARGET_FILE_BYTES) -> int:
     return max(1, -(-total_bytes // target))
 
 
+def sort_count(rows: int, columns: int) -> int:
+    """Parts that a sort of so many rows takes for each to hold ``SORT_BYTES`` at most.  Files are packed many times
+    denser than the rows that a task sorts for them, so their own size says nothing about that."""
+    return max(1, -(-rows * (columns + 4) * CELL_BYTES // SORT_BYTES))
+
+
 def rank_edges(df: DataFrame, keys: Sequence[str], bits: int = RANK_BITS) -> dict[str, list[float]]:
     """Values that cut each key's rows into parts of like size.  Special members (below 1) and NULL are left out, so they do
     not take part of the range away from the rest."""
@@ -158,7 +166,8 @@ def compact(spark: SparkSession, table: str, target: int = TARGET_FILE_BYTES) ->
 def optimize_table(spark: SparkSession, table: str, files: int | None = None, many: int = MANY_FILES) -> tuple:
     """Cluster a table that has clustering columns, else compact it when it has many files.
 
-    Returns (table, status, files before, files after).  Delta does both itself.
+    Returns (table, status, files before, files after).  Delta does both itself.  A clustered file is sorted by one task, so
+    without ``files`` there are enough of them for the rows of each to fit its memory.
     """
     layer, name = table.rsplit(".", 1)
     df = spark.table(table)
@@ -175,6 +184,8 @@ def optimize_table(spark: SparkSession, table: str, files: int | None = None, ma
         finish_swap(spark, layer, name)
         sizes = catalog.data_files(spark, catalog.table_detail(spark, table, count=False)["location"])
         n = files or file_count(sum(sizes.values()))
+        if keys and not files:
+            n = max(n, sort_count(df.count(), len(df.columns) + len(keys)))
         _parquet_rewrite(spark, table, cluster(df, keys, n) if keys else df.repartition(n))
     return table, "clustered" if keys else "compacted", before, len(spark.table(table).inputFiles())
 

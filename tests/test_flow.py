@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from compare import differences, duck
 from starmart.plans import layers, layout, medallion
 from starmart.plans.layers import LAYERS, compare_digests
-from starmart.schemas import DIM_STORE
+from starmart.schemas import DIM_STORE, FACT_SALES
 from starmart.sources import catalog
 from starmart.streaming import incremental
 
@@ -255,3 +255,17 @@ def test_compaction_that_dies_is_finished_by_the_next(spark, monkeypatch):
         assert rows() == list(range(100))
         assert layout.compact(spark, f"{gold}.t")["before"] == 1
         assert rows() == list(range(100)) and not catalog.committed(spark, gold, "t")["swap"]
+
+
+def test_clustered_files_hold_no_more_rows_than_a_task_sorts(spark, monkeypatch):
+    """However small the files are, the rows of one must fit the task that sorts them."""
+    rows = spark.range(6000).selectExpr(
+        "CAST(20230101 + id % 28 AS INT) AS datekey", "id % 50 AS productid", "id % 40 AS customerid", "id AS salesid")
+    monkeypatch.setattr(layout, "SORT_BYTES", 1000 * (4 + 3 + 4) * layout.CELL_BYTES)  # 1000 such rows
+    with catalog.scoped_namespaces(spark, ["silver"]) as spaces:
+        catalog.publish(rows, spaces["silver"], "fact_sales", files=3)
+        told = layout.optimize_table(spark, f"{spaces['silver']}.fact_sales")
+        stored = catalog.table(spark, spaces["silver"], "fact_sales")
+        most = max(r[1] for r in stored.groupBy(F.input_file_name()).count().collect())
+        assert told[1:] == ("clustered", 3, 6) and most < 2000
+        assert sorted(r.salesid for r in stored.collect()) == list(range(6000))
