@@ -46,15 +46,17 @@ def with_lineage(df: DataFrame, logical_name: str) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", digits: dict[str, int] | None = None) -> None:
-    """Write with a header; ``digits`` fixes the decimals of chosen columns."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", digits: dict[str, int] | None = None,
+              compression: str = "none") -> None:
+    """Write with a header; ``digits`` fixes the decimals of chosen columns.  Compressed files are read as they are, each by
+    one task."""
     digits = digits or {}
     df.select(
         *[
             F.col(c).cast(f"decimal(38,{digits[c]})").alias(c) if c in digits else F.col(c)
             for c in df.columns
         ]
-    ).write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+    ).write.mode(mode).option("header", True).option("encoding", "UTF-8").option("compression", compression).csv(path)
 
 
 def available_inputs(spark: SparkSession, folder: str, names: Sequence[str] = tuple(TABLES)) -> DataFrame:

@@ -269,3 +269,20 @@ def test_clustered_files_hold_no_more_rows_than_a_task_sorts(spark, monkeypatch)
         most = max(r[1] for r in stored.groupBy(F.input_file_name()).count().collect())
         assert told[1:] == ("clustered", 3, 6) and most < 2000
         assert sorted(r.salesid for r in stored.collect()) == list(range(6000))
+
+
+def test_raw_lines_meet_their_orders_once(spark, order_star):
+    """Lines that come twice are repeated in their own task, not read and joined a second time."""
+    rows = layers.raw_rows(order_star, "fact_sales")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and "Union" not in plan
+    lines = spark.read.parquet(f"{order_star.folder}/lineitem.parquet")
+    assert rows.count() == lines.count() + lines.filter(f"l_orderkey % {layers.REPEATED} = 0").count()
+
+
+def test_raw_files_of_a_flow_are_compressed(spark, order_star, monkeypatch):
+    seen = []
+    monkeypatch.setattr(medallion, "load_bronze", lambda s, folder, layer: (
+        seen.extend(catalog.data_files(s, f"{folder}/dim_store.csv")), [])[1])
+    layers.through_layers(order_star, ["dim_store"], lambda made: spark.range(1))
+    assert seen and all(n.endswith(".csv.gz") for n in seen)
