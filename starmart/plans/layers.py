@@ -22,6 +22,7 @@ from starmart.sources.scratch import materialize, scratch_path
 from starmart.sources.star import Star
 
 REPEATED = 7    # every so many orders' lines come twice
+LARGE_FILE_ROWS, LARGE_FILES = 10_000_000, 24  # lines of a large file, and large files at most; small ones stay below half of one
 UNREADABLE = 1000  # every so many orders' lines have a cell that does not parse
 # Orders have several lines and lines no key of their own, so the files carry one made of the line.
 LINE_KEY = (
@@ -205,13 +206,15 @@ def table_statistics(star: OrderLineStar) -> DataFrame:
 
 
 def compacted_sales(star: OrderLineStar) -> DataFrame:
-    """Sales in one large file and many small ones, compacted: lines and value by store, and what became of the files."""
+    """Sales in large files and many small ones, compacted: lines and value by store, and what became of the files."""
     spark = star.spark
     sales = star.sales("salesid", "storeid", "net")
     few = F.col("storeid") % 10 == 0
     with catalog.scoped_namespaces(spark, ["silver"]) as spaces:
         silver = spaces["silver"]
-        catalog.publish(sales.filter(~few).coalesce(1), silver, "sales")
+        large = min(LARGE_FILES, -(-star.rows("fact_sales") // LARGE_FILE_ROWS))
+        rest = sales.filter(~few)
+        catalog.publish(rest.repartition(large) if large > 1 else rest.coalesce(1), silver, "sales")
         catalog.append(sales.filter(few).repartition(12), silver, "sales")
         path = catalog.committed(spark, silver, "sales")["path"]
         before = catalog.data_files(spark, path)

@@ -271,6 +271,16 @@ def test_clustered_files_hold_no_more_rows_than_a_task_sorts(spark, monkeypatch)
         assert sorted(r.salesid for r in stored.collect()) == list(range(6000))
 
 
+def test_large_files_are_written_by_several_tasks(spark, order_star, monkeypatch):
+    want = sorted(map(str, LAYERS["compacted_sales"](order_star).collect()))
+    monkeypatch.setattr(layers, "LARGE_FILE_ROWS", 1500)
+    sizes, real = [], layout.compact
+    monkeypatch.setattr(layout, "compact", lambda s, t, target: (
+        sizes.extend(r[1] for r in s.table(t).groupBy(F.input_file_name()).count().collect()), real(s, t, target))[1])
+    assert sorted(map(str, LAYERS["compacted_sales"](order_star).collect())) == want
+    assert max(sizes) <= 1600 and len(sizes) == 12 + -(-order_star.rows("fact_sales") // 1500)
+
+
 def test_raw_lines_meet_their_orders_once(spark, order_star):
     """Lines that come twice are repeated in their own task, not read and joined a second time."""
     rows = layers.raw_rows(order_star, "fact_sales")
