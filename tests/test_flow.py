@@ -296,3 +296,16 @@ def test_raw_files_of_a_flow_are_compressed(spark, order_star, monkeypatch):
         seen.extend(catalog.data_files(s, f"{folder}/dim_store.csv")), [])[1])
     layers.through_layers(order_star, ["dim_store"], lambda made: spark.range(1))
     assert seen and all(n.endswith(".csv.gz") for n in seen)
+
+
+def test_keys_of_distinct_loads_are_kept_on_disk(spark, order_star, monkeypatch, tmp_path):
+    """A batch writes its own keys, not a copy of all earlier ones, and the session's own settings stay."""
+    own = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(own)
+    folder = f"{tmp_path}/in"
+    layers.write_csv(layers.raw_rows(order_star, "fact_sales").repartition(4), folder)
+    incremental.load_distinct(spark, folder, FACT_SALES, f"{tmp_path}/out", f"{tmp_path}/keys", files_per_batch=2)
+    kept = [os.path.basename(f) for _, _, files in os.walk(f"{tmp_path}/keys/state") for f in files]
+    assert any(f.endswith(".changelog") for f in kept) and not any(f.endswith(".delta") for f in kept)
+    assert spark.conf.get(own) == before
+    assert incremental.stored_batches(spark, f"{tmp_path}/out").count() == spark.read.parquet(f"{order_star.folder}/lineitem.parquet").count()
