@@ -127,6 +127,43 @@ def test_registered_toxicity_held_out(spark):
     assert len(rows) == 1000 and auc(*zip(*own, strict=True)) > 0.8
 
 
+def labelled_frames(spark, made, parts):
+    rows = [(i, t, y) for i, (t, y) in enumerate(made)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(parts)
+    return docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int").repartition(parts)
+
+
+def test_whole_long_texts_are_learned_from(spark):
+    """No toxic text is short."""
+    made = [(t + " word1 word2" * 1800 * y, y) for t, y in made_texts(400, 5)]
+    assert min(len(t) for t, y in made if y) > 20_000
+    model = toxicity.learn(*labelled_frames(spark, made, 3))
+    fresh = [(t + " word1 word2" * 1800 * y, y) for t, y in made_texts(80, 6)]
+    assert all((model.score(t) >= toxicity.PASS_MARK) == y for t, y in fresh)
+
+
+def test_all_labelled_rows_are_learned_from(spark, monkeypatch):
+    """The mean of six shards tells the classes apart, however the rows lie."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 200)
+    made = [*made_texts(2000, 1)]
+    rows = toxicity.labelled(*labelled_frames(spark, made, 3)).collect()
+    want = [t for i, (t, _) in enumerate(made) if not held_out(i)]
+    assert sorted(r.text for r in rows) == sorted(want)
+    one, other = (toxicity.learn(*labelled_frames(spark, made, parts)) for parts in (2, 9))
+    fresh = [*made_texts(300, 2)]
+    assert [one.score(t) for t, _ in fresh] == [other.score(t) for t, _ in fresh]
+    assert auc([one.score(t) for t, _ in fresh], [y for _, y in fresh]) > 0.97
+
+
+def test_blocks_of_long_texts_have_no_windows_of_their_own(model, monkeypatch):
+    rows = model.rows([f"word{k % 300}" for k in range(211)])
+    top, at = model.responses(rows)
+    for block in (70, 105, 209, 210, 211):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        own, where = model.peaks(rows)
+        assert np.allclose(own, top, atol=1e-5) and (where + max(toxicity.WIDTHS) <= len(rows) + 2).all()
+
+
 def test_labels_that_texts_do_not_explain_reject_nothing():
     blind = toxicity.train(["the same words of it"] * 40, [0, 1] * 20)
     assert blind.score("the same words of it") < toxicity.PASS_MARK
