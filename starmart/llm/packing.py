@@ -44,6 +44,7 @@ WORK = 400_000
 NODE_WORK = 32
 BUCKET_PIECES = 50_000
 REMEMBERED_WORDS = 200_000
+TOGETHER = 100_000
 
 Filling = tuple[tuple[int, int], ...]  # (length, how often), longest first
 Plan = list[tuple[Filling, int]]  # a filling and how many sequences have it
@@ -240,7 +241,7 @@ def plan_slots(plan: Plan) -> dict[str, np.ndarray]:
 
 # A full stop or comma between a letter or digit and white space is a piece of text of its own.  (Some letters beyond these
 # end in a combining mark once normalised or small, and that would belong to the piece.)
-_MARK = re.compile("(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,])(?=[ \\n])")
+_MARK = re.compile("([.,])(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ][.,])(?=[ \\n])")  # begins with what is rare
 
 
 class WordTokenizer:
@@ -297,12 +298,24 @@ class WordTokenizer:
             self._cut(some, ids, np.concatenate([[0], marks + 1]), np.concatenate([marks, [len(ids)]]))
 
     def __call__(self, text: str) -> bytes:
-        words = _MARK.sub(r" \1", text).replace("\n", " ").split(" ")
+        return self._together([text])[0]
+
+    def many(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text; the new words of texts of some ``TOGETHER`` characters go to the library at once."""
+        low = held = 0
+        for k, text in enumerate(texts):
+            held += len(text)
+            if held >= TOGETHER or k + 1 == len(texts):
+                yield from self._together(texts[low:k + 1])
+                low, held = k + 1, 0
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        cut = [_MARK.sub(r" \1", text).replace("\n", " ").split(" ") for text in texts]
         if len(self.young) > REMEMBERED_WORDS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         new, small = [], []
-        for w in set(words).difference(young):
+        for w in set().union(*cut).difference(young):
             if w in old:
                 young[w] = old[w]
             elif w.isascii() and not w.islower():
@@ -321,7 +334,7 @@ class WordTokenizer:
             self._learn([*new, *unknown])
         for w, form in forms.items():
             young[w] = young[form]
-        return b"".join(map(young.__getitem__, words))
+        return [b"".join(map(young.__getitem__, words)) for words in cut]
 
 
 @lru_cache(maxsize=2)
@@ -340,8 +353,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    ids = encode(text) + end
+                for doc, ids in zip(part.column("doc_id").to_pylist(), encode.many(part.column("text").to_pylist()), strict=True):
+                    ids += end
                     for piece, low in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[low:low + 4 * capacity]
                         rows.append((doc, piece, low // 4, len(own) // 4, zlib.crc32(own), own))

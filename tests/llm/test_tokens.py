@@ -207,3 +207,16 @@ def test_words_equal_whole_texts():
     texts += [" ".join(rng.choice(["Word", "word", "WORD.", "word,", "wörd", "Wörd.", "x1.", "İ.", "ǅ,", "don't."]) for _ in range(9)) for _ in range(200)]
     for text in [*texts, "a<|endoftext|>b  <|startoftext|> I'll 'S", *(t or "" for _, t in TEXTS)]:
         assert own(text) == packed(library.encode(text, add_special_tokens=False).ids), text
+
+
+def test_new_words_of_many_texts_go_to_the_library_together(monkeypatch):
+    rng, calls = random.Random(8), []
+    texts = [" ".join("".join(rng.choices("abcdeéßΣ.,", k=9)) for _ in range(12)) + rng.choice(["", ".", ",\n", " <|endoftext|>"]) for _ in range(200)]
+    one = packing.WordTokenizer(WORDS)
+    want = [one(t) for t in texts]
+    own = packing.WordTokenizer(WORDS)
+    encode = own._ids
+    monkeypatch.setattr(own, "_ids", lambda text: calls.append(text) or encode(text))
+    assert list(own.many(texts)) == want and len(calls) < len(texts) / 4
+    monkeypatch.setattr(packing, "TOGETHER", 300)
+    assert list(packing.WordTokenizer(WORDS).many(texts)) == want and list(own.many([])) == []
