@@ -5,10 +5,12 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF
 
@@ -177,6 +179,16 @@ def test_threshold_where_nearly_all_rows_are_toxic():
     assert toxicity._best_threshold(np.zeros(6), np.array([1.0, 0, 1, 0, 1, 1])) > 0  # no ranking: nothing is rejected
 
 
+def test_texts_without_a_label_are_not_exchanged(spark, monkeypatch):
+    """All marked rows pass, few others do; a full bitmap lets all pass."""
+    marked = spark.createDataFrame([(7 * i - 300,) for i in range(200)], "doc_id long")
+    rows = spark.range(-5000, 5000).toDF("doc_id")
+    near = {r.doc_id for r in toxicity._maybe_marked(rows, marked).collect()}
+    assert near >= {7 * i - 300 for i in range(200)} and len(near) < 2000
+    monkeypatch.setattr(toxicity, "MOST_MARKS", 1)
+    assert toxicity._maybe_marked(rows, marked).count() > 9000
+
+
 # --- secrets --------------------------------------------------------------------------------------------------
 
 
@@ -363,6 +375,19 @@ def test_redaction(docs):
     assert got[21] == "The key [SECRET] and [SECRET]" and got[6] is None and got[14] == dict(TEXTS)[14]
 
 
+def test_rows_of_a_tree_are_not_all_python_objects_at_once():
+    n = 20_000
+    rows = pa.table({
+        "kind": ["run"] * n, "node": [b""] + [b"%016d" % k for k in range(1, n)], "parent": [None] + [b""] * (n - 1),
+        "symbol": [None] + ["a"] * (n - 1), "depth": [0] + [1] * (n - 1), "n": [n] + [1] * (n - 1), "ends": [0] + [1] * (n - 1),
+        "open": [True] + [False] * (n - 1)})
+    tracemalloc.start()
+    root = secret_scan.counted_tree(rows)
+    left, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert root.n == n and root.next["a"][1] == 1 and peak - left < 8e6
+
+
 # --- fingerprints ---------------------------------------------------------------------------------------------
 
 
