@@ -9,6 +9,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from starmart.llm import exact_dedup, line_dedup, links, ngram_join
+from starmart.llm.common import maybe_among
 from starmart.llm.queries import ORACLES, QUERIES
 
 from .conftest import BASE, NEAR, TEXTS, frame, words
@@ -322,6 +323,39 @@ def test_rare_shingles_bring_linked_lines_together(spark):
     assert all(keys[0][a] & keys[1][b] or keys[0][b] & keys[1][a] for a, b in linked)
 
 
+def common_words(rng):
+    pool = [a + b for a in ("tion", "ing", "the", "and", "ent", "sor", "qui", "mel") for b in ("er", "on", "al", "is", "ou", "ap", "yk", "ub")]
+    return " ".join(rng.choice(pool) + rng.choice("bcdfgklmprstvz") for _ in range(40))
+
+
+def test_finer_bands_bring_linked_lines_together(spark):
+    """Lines that share a band by common shingles alone get few rows there: by rare shingles alone it was 50 a line and more."""
+    rng = random.Random(9)
+    lines = [common_words(rng) for _ in range(300)]
+    lines += [x[:40] + "Q" + x[41:] for x in lines[::6]] + [x[20:] for x in lines[::10]]
+    table = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    sketched = line_dedup.sketches(table).withColumn("band", F.lit(0))
+    rows = sketched.select(F.lit(1).cast("long").alias("key"), F.struct("node", *line_dedup._FACTS, "band").alias("x"),
+                           F.col("node").alias("component"))
+    keys = [collections.defaultdict(set), collections.defaultdict(set)]
+    for own, part in zip(keys, line_dedup.by_finer_bands(rows, table), strict=True):
+        for r in part.collect():
+            own[r.x.node].add(r.key)
+    sets = [line_set(x) for x in lines]
+    linked = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) * 4 >= 3 * len(sets[a] | sets[b])]
+    assert len(linked) > 60
+    assert all(keys[0][a] & keys[1][b] or keys[0][b] & keys[1][a] for a, b in linked)
+    assert sum(map(len, keys[0].values())) < 40 * len(lines)
+
+
+def test_only_lines_that_are_asked_for_are_shuffled(spark):
+    lines = spark.range(20_000).select(F.col("id").alias("node"), F.col("id").cast("string").alias("line"))
+    nodes = lines.select("node").where("node % 100 = 7")
+    assert {r.node for r in maybe_among(lines, nodes, "node").collect()} >= set(range(7, 20_000, 100))
+    assert maybe_among(lines, nodes, "node").count() < 6000
+    assert sorted(r.node for r in line_dedup._texts(lines, nodes).collect()) == list(range(7, 20_000, 100))
+
+
 def test_cleaned_texts(docs):
     got = {r.doc_id: r.text for r in line_dedup.without_repeats(docs.where("doc_id in (18, 19, 20)")).collect()}
     assert got[18] == "line one of it\n" and got[19] == "same line that stands in many texts" and got[20] == "other"
