@@ -21,29 +21,38 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart.llm import exact_dedup, ngram_join, packing, secret_scan, toxicity
 from starmart.llm.common import documents, ship, stored
 
+BATCH_BYTES = "4m"
 
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def _begin(spark: SparkSession) -> None:
+    """The package for the executors' Python, and whole texts in Arrow batches of bounded size: a batch of 10,000 rows holds tens
+    of MB of texts, once in the JVM and several times in each worker."""
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark)
     return toxicity.keep_harmless(docs, toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    _begin(spark)
     return exact_dedup.keep_first(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    _begin(spark)
     return ngram_join.keep_one_each(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    _begin(spark)
     return secret_scan.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    _begin(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
 

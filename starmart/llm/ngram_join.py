@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import attach, ship, shuffle_width, stored, text_of, unused
+from starmart.llm.common import attach, ship, shuffle_width, stored, task_of, text_of, unused
 from starmart.llm.links import linked_components
 
 N, SIMILAR = 5, 75
@@ -74,6 +74,10 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+def _forget() -> None:
+    _WORDS.clear()
+
+
 def ngrams(text: str) -> np.ndarray:
     """The sorted distinct hashes of a text."""
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
@@ -235,6 +239,7 @@ def shared_sets(docs: DataFrame) -> DataFrame:
     ranges = max(shuffle_width(spark), -(-size // RANGE_BYTES))
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task_of("ngram_join", _forget)
         number, ids, sets, held = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
             names = zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), strict=True)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import shuffle_width, stored, text_of
+from starmart.llm.common import shuffle_width, stored, task_of, text_of
 
 CAPACITY = 4096
 END_ID = 1
@@ -342,6 +342,10 @@ def _tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+def _forget() -> None:
+    _tokenizer.cache_clear()
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_ids: bool = True) -> DataFrame:
     """The pieces of every row: doc_id, piece, start, length, ids_crc32 and, if asked for, ids (packed, binary)."""
     end = np.array([END_ID], "<u4").tobytes()
@@ -349,6 +353,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * keep_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task_of("packing", _forget)
         encode = _tokenizer(tokenizer_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import release, stored, text_of
+from starmart.llm.common import MOST_MARKS, maybe_among, release, stored, task_of, text_of
 
 SHARD_ROWS, SHARD_CHARS = 4000, 16_000_000  # on average
 HELD_OUT = 2
@@ -48,7 +48,7 @@ EPOCHS, RATE, DECAY, CALIBRATION_SHARE = 6, 0.1, 1e-5, 0.2
 GRID, MOST_LOGIT, BLOCK = 1000, 30.0, 50_000
 UNIT, MOST_WEIGHT = float(1 << 20), float(1 << 21)  # weights are summed as whole numbers of 1 / UNIT
 REMEMBERED_WORDS, COUNTED_WORDS = 200_000, 50_000
-MARK_BITS, MOST_MARKS = 8, 1 << 20
+RETURNED = 10_000  # rows of weights in one batch
 _WORD = re.compile(r"[^\W_]+")
 
 # Frequent function words by language.
@@ -344,21 +344,8 @@ def _marked(labels: DataFrame) -> DataFrame:
 
 
 def _maybe_marked(rows: DataFrame, marked: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose doc_id is not ``marked``, so that few other texts are shuffled.  A bitmap of hashed
-    ids is broadcast, of some ``MARK_BITS`` an id and ``MOST_MARKS`` numbers at most; a full one lets more rows pass."""
-    words = 1
-    while words < MOST_MARKS and words * 64 < marked.count() * MARK_BITS:
-        words *= 2
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(64 * words))
-    number, bit = F.shiftright(place, 6).cast("int"), (place % 64).cast("int")
-    one = marked.select(number.alias("number"), F.expr("1L").alias("one"), bit.alias("bit"))
-    found = one.groupBy("number").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits")).toArrow()
-    marks = np.zeros(words, "i8")
-    marks[found.column("number").to_numpy()] = found.column("bits").to_numpy()
-    spark = rows.sparkSession
-    table = spark.createDataFrame(pa.table({"marks": pa.array([marks], pa.list_(pa.int64()))}))
-    kept = rows.columns
-    return rows.crossJoin(F.broadcast(table)).where(F.getbit(F.element_at("marks", number + 1), bit) == 1).select(*kept)
+    """``rows`` without most of those whose doc_id is not ``marked``, so that few other texts are shuffled."""
+    return maybe_among(rows, marked, "doc_id", MOST_MARKS)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, n_shards: int = 1) -> DataFrame:
@@ -380,6 +367,7 @@ def _feature_counts(rows: DataFrame) -> DataFrame:
     """(bucket, n) over all ``rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task_of("toxicity")
         seen = feature_counts(words_of(t.as_py()) for batch in batches for t in batch.column("text"))
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen)), pa.array(seen[seen > 0])], ["bucket", "n"])
 
@@ -391,27 +379,30 @@ def _trained(trainer: Trainer, shards: DataFrame, lift: float, epochs: int) -> T
     known = shards.sparkSession.sparkContext.broadcast(trainer)
     values = [f"v{k}" for k in range(2 * SIZE)]
 
-    def passed(shard: int, rows: list[np.ndarray], y: list[int]) -> pa.RecordBatch:
+    def passed(shard: int, rows: list[np.ndarray], y: list[int]) -> Iterator[pa.RecordBatch]:
         own = known.value.copied()
         changed = np.flatnonzero(own.run(rows, np.array(y, "float32"), lift, epochs, shard))
         flat = own.flat()
         table = np.concatenate([flat, np.concatenate([own.model.embedding[changed], own.embedding[changed]], axis=1)])
-        whole = np.rint(np.clip(table.astype("float64"), -MOST_WEIGHT, MOST_WEIGHT) * UNIT).astype("i8")
         number = np.concatenate([-1 - np.arange(len(flat)), changed])
-        return pa.RecordBatch.from_arrays([pa.array(number), *(pa.array(np.ascontiguousarray(c)) for c in whole.T)], ["row", *values])
+        for low in range(0, len(table), RETURNED):
+            part = table[low: low + RETURNED].astype("float64")
+            whole = np.rint(np.clip(part, -MOST_WEIGHT, MOST_WEIGHT) * UNIT).astype("i8")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number[low: low + RETURNED]), *(pa.array(np.ascontiguousarray(c)) for c in whole.T)], ["row", *values])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, now, rows, y = known.value.model, None, [], []
         for batch in batches:
             for shard, text, toxic in zip(batch.column("shard").to_pylist(), batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
                 if shard != now and rows:
-                    yield passed(now, rows, y)
+                    yield from passed(now, rows, y)
                     rows, y = [], []
                 now = shard
                 rows.append(words.rows(words_of(text.as_py())))
                 y.append(toxic)
         if rows:
-            yield passed(now, rows, y)
+            yield from passed(now, rows, y)
         words.forget()
 
     returned = shards.mapInArrow(run, ", ".join(["row long", *(f"{v} long" for v in values)]))
@@ -483,6 +474,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(model)  # at most BUCKETS rows of weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task_of("toxicity")
         for batch in batches:
             scores = [known.value.score(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
@@ -496,6 +488,7 @@ def keep_harmless(docs: DataFrame, model: Classifier) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task_of("toxicity")
         for batch in batches:
             keep = [known.value.score(t or "") < PASS_MARK for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))

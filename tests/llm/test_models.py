@@ -15,7 +15,7 @@ import pytest
 from conftest import SF
 
 import corpus_pipeline
-from starmart.llm import fingerprints, language_id, secret_scan, toxicity
+from starmart.llm import common, fingerprints, language_id, ngram_join, secret_scan, toxicity
 from starmart.llm.queries import QUERIES
 
 from .conftest import TEXTS, frame
@@ -157,6 +157,17 @@ def test_all_labelled_rows_are_learned_from(spark, monkeypatch):
     assert auc([one.score(t) for t, _ in fresh], [y for _, y in fresh]) > 0.97
 
 
+def test_returned_weights_do_not_depend_on_batches(spark, monkeypatch):
+    rows = spark.createDataFrame([(0, t, y) for t, y in made_texts(80, 4)], "shard long, text string, toxic int")
+    kept = np.flatnonzero(toxicity.feature_counts(toxicity.words_of(r.text) for r in rows.collect()) >= toxicity.LEAST_DOCS)
+    start = toxicity.Trainer.of(toxicity.untrained(kept))
+    whole = toxicity._trained(start, rows, 1.0, 1)
+    monkeypatch.setattr(toxicity, "RETURNED", 7)
+    parts = toxicity._trained(start, rows, 1.0, 1)
+    assert (whole.model.embedding == parts.model.embedding).all() and (whole.flat() == parts.flat()).all()
+    assert not (whole.flat() == start.flat()).all()
+
+
 def test_blocks_of_long_texts_have_no_windows_of_their_own(model, monkeypatch):
     rows = model.rows([f"word{k % 300}" for k in range(211)])
     top, at = model.responses(rows)
@@ -572,6 +583,31 @@ def test_pipeline_equals_plain_version(spark, tmp_path):
     assert public_tokenizers.path("word_bpe_49k.json") and len(want) < every.count()
 
 
+def test_workers_forget_another_operators_words():
+    ngram_join.ngrams("some words of a text")
+    assert ngram_join._WORDS
+    common.task_of("ngram_join", ngram_join._forget)
+    common.task_of("ngram_join", ngram_join._forget)
+    assert ngram_join._WORDS  # its own next task finds them
+    common.task_of("toxicity")
+    assert not ngram_join._WORDS
+
+
+def test_stages_take_texts_in_batches_of_bounded_size(spark):
+    """10,000 rows of long texts would be one batch."""
+    seen = spark.sparkContext.accumulator(0)
+    docs = frame(spark, [(k, "text " * 2000) for k in range(2000)]).coalesce(1)
+    corpus_pipeline.drop_near_copies(spark, docs.limit(0), SMALL)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(1)
+            assert batch.nbytes < 12 << 20
+            yield batch
+
+    assert docs.mapInArrow(run, docs.schema).count() == 2000 and seen.value > 2
+
+
 def test_pipeline_of_nothing_and_of_odd_rows(spark, docs, nothing, tmp_path):
     spark.createDataFrame([(1, 0), (3, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for rows in (nothing, docs):
