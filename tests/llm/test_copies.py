@@ -4,12 +4,14 @@ import collections
 import hashlib
 import random
 import re
+import time
 
+import pyarrow as pa
 from conftest import SF
 from pyspark.sql import functions as F
 
 from starmart.llm import exact_dedup, line_dedup, links, ngram_join
-from starmart.llm.common import maybe_among
+from starmart.llm.common import maybe_among, stored
 from starmart.llm.queries import ORACLES, QUERIES
 
 from .conftest import BASE, NEAR, TEXTS, frame, words
@@ -348,6 +350,62 @@ def test_finer_bands_bring_linked_lines_together(spark):
     assert sum(map(len, keys[0].values())) < 40 * len(lines)
 
 
+def test_pairs_of_large_bands_are_found_in_both_ways(spark, monkeypatch):
+    """Lines of a large band that meet in one task, and those of a band too large for that: no linked pair is lost."""
+    rng = random.Random(9)
+    lines = [common_words(rng) for _ in range(300)]
+    lines += [x[:40] + "Q" + x[41:] for x in lines[::6]] + [x[20:] for x in lines[::10]] + [lines[0] + " " + 30 * "x"] * 2
+    table = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    x = F.struct("node", *line_dedup._FACTS, "band")
+    rows = line_dedup.sketches(table).withColumn("band", F.lit(0)).select(
+        F.lit(1).cast("long").alias("key"), F.lit(len(lines)).cast("long").alias("n"), x.alias("x"), F.col("node").alias("component"))
+    sets = [line_set(x) for x in lines]
+    linked = {(b, a) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) * 4 >= 3 * len(sets[a] | sets[b])}
+    assert len(linked) > 60
+    found = []
+    for within, paired in ((1 << 15, 64), (1 << 15, 2), (1, 64), (1, 2)):
+        monkeypatch.setattr(line_dedup, "WITHIN", within)
+        monkeypatch.setattr(line_dedup, "PAIRED", paired)
+        found.append({(r.a, r.b) for r in line_dedup.finer_pairs(rows, table).collect()})
+        assert linked <= found[-1] and all(a < b for a, b in found[-1])
+    assert found[0] == found[2] and len(found[0]) < 2 * len(linked)
+    together = rows.withColumn("component", F.lit(7))
+    assert line_dedup.finer_pairs(together, table).count() == 0
+
+
+def test_whole_sets_are_compared(spark, monkeypatch):
+    rng = random.Random(4)
+    lines = ["".join(rng.choice("ab c\u00e9\U0001f600") for _ in range(n)) for n in (0, 1, 4, 5, 6, 40, 40, 300, 2000)]
+    lines += [x[:k] + "z" + x[k + 1:] for x in lines for k in (2, 9, 30)] + [x + x[:7] for x in lines] + ["abcd", "abcde", "aaaaaaa", "aaaaaa"]
+    table = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    pairs = spark.createDataFrame([(a, b) for b in range(len(lines)) for a in range(b)], "a long, b long")
+    sets = [line_set(x) for x in lines]
+    want = {(a, b) for b in range(len(sets)) for a in range(b) if len(sets[a] & sets[b]) * 4 >= 3 * len(sets[a] | sets[b])}
+    assert {tuple(r) for r in line_dedup.near_pairs(pairs, table).collect()} == want
+    whole = line_dedup._set_of_each(lines)
+    for piece in (1, 7, 100):
+        monkeypatch.setattr(line_dedup, "PIECE", piece)
+        assert (line_dedup._set_of_each(lines) == whole).all()
+    every = pa.RecordBatch.from_pydict({"line_a": lines, "line_b": lines[::-1]})
+    assert pa.Table.from_batches(line_dedup._parts(every)).equals(pa.Table.from_batches([every]))
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """They took more disk than the tables themselves until the driver collected its garbage."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", blocks.getAllFiles().mkString(" ")))
+    name, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", files()
+    was = spark.conf.get(name, None)
+    counted = stored(spark.range(10_000).groupBy((F.col("id") % 1000).alias("k")).count())
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    assert spark.conf.get(name, None) == was
+    assert counted.count() == 1000 and counted.join(counted, "k").count() == 1000
+
+
 def test_only_lines_that_are_asked_for_are_shuffled(spark):
     lines = spark.range(20_000).select(F.col("id").alias("node"), F.col("id").cast("string").alias("line"))
     nodes = lines.select("node").where("node % 100 = 7")
