@@ -331,6 +331,22 @@ def test_counts_of_a_cut_tree_are_whole(spark, monkeypatch):
     assert sum(n for (_, c), n in seen["counts"].items() if c) == sum(map(len, values))
 
 
+def test_every_node_of_a_large_tree_has_its_part_in_the_merges(spark, monkeypatch):
+    """Trees of more than ``MOST_NODES`` merge as the whole tree does, nodes of few strings included."""
+    monkeypatch.setattr(secret_scan, "MOST_NODES", 50)
+    monkeypatch.setattr(secret_scan, "HELD_PAIRS", 900, raising=False)
+    rng = random.Random(11)
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    values = {"run": {"-".join(rng.choice(["report", "2024", "table", "page"]) for _ in range(rng.randrange(1, 7))) for _ in range(1500)},
+              "assign": {make("ab/+_0Z", rng.choice([1, 2, 3, 40])) + "=" * rng.randrange(3) for _ in range(700)}}
+    rows = [(k, v) for k, own in values.items() for v in sorted(own)]
+    got = secret_scan._automata(spark.createDataFrame(rows, "kind string, value string").repartition(3))
+    for kind, own in values.items():
+        plain = secret_scan.Automaton(sorted(own))
+        assert len(plain.step) > 2 and got[kind].step == plain.step, kind
+        assert got[kind].log == plain.log and got[kind].unseen == plain.unseen, kind
+
+
 def test_planted_formats_over_a_whole_table(spark):
     """Precision and recall of ``format`` spans: keys of formats near the base ones, without a label and outside the base
     patterns, planted among the texts of a whole table, beside labelled ones and long runs that are no credentials."""
