@@ -34,7 +34,7 @@ from starmart.plans.medallion import reconcile
 from starmart.schemas import DIM_CUSTOMER, FACT_SALES
 from starmart.sources.delimited import read_csv, write_csv
 from starmart.sources.order_lines import OrderLineStar
-from starmart.sources.scratch import scratch_path
+from starmart.sources.scratch import dropped_shuffles, scratch_path
 from starmart.streaming.incremental import load_distinct, stored_batches
 
 
@@ -278,7 +278,8 @@ def clustering_spans(star: OrderLineStar) -> DataFrame:
 def stream_distinct_sales(star: OrderLineStar) -> DataFrame:
     """Sales lines that come twice, streamed from files in several batches and stored once each."""
     spark, folder, target = star.spark, scratch_path(star.spark), scratch_path(star.spark)
-    write_csv(raw_rows(star, "fact_sales"), folder)
+    with dropped_shuffles(spark):
+        write_csv(raw_rows(star, "fact_sales"), folder, compression="gzip")
     load_distinct(spark, folder, FACT_SALES, target, scratch_path(spark), files_per_batch=4)
     return stored_batches(spark, target).select("salesid", "qty", "net")
 

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from compare import differences, duck
-from starmart.plans import layers, layout, medallion
+from starmart.plans import layers, layout, medallion, operator_queries
 from starmart.plans.layers import LAYERS, compare_digests
 from starmart.schemas import DIM_STORE, FACT_SALES
 from starmart.sources import catalog
+from starmart.sources.order_lines import OrderLineStar
 from starmart.streaming import incremental
 
 
@@ -309,3 +310,35 @@ def test_keys_of_distinct_loads_are_kept_on_disk(spark, order_star, monkeypatch,
     assert any(f.endswith(".changelog") for f in kept) and not any(f.endswith(".delta") for f in kept)
     assert spark.conf.get(own) == before
     assert incremental.stored_batches(spark, f"{tmp_path}/out").count() == spark.read.parquet(f"{order_star.folder}/lineitem.parquet").count()
+
+
+def test_distinct_sales_leave_no_shuffle_files_and_their_input_is_compressed(spark, monkeypatch, tmp_path):
+    """What the input's join and each batch shuffled is gone when they have ended, whenever the driver collects its garbage."""
+    spark.range(300).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "DATE '1995-02-01' AS o_orderdate", "'2-HIGH' AS o_orderpriority") \
+        .write.parquet(f"{tmp_path}/star/orders.parquet")
+    spark.range(900).selectExpr(
+        "id div 3 AS l_orderkey", "id % 3 AS l_linenumber", "id % 11 AS l_partkey", "id % 5 AS l_suppkey", "CAST(2 AS DOUBLE) AS l_quantity",
+        "CAST(id + 1 AS DOUBLE) AS l_extendedprice", "CAST(0.1 AS DOUBLE) AS l_discount", "CAST(0 AS DOUBLE) AS l_tax", "'N' AS l_returnflag"
+    ).repartition(3).write.parquet(f"{tmp_path}/star/lineitem.parquet")
+    dirs = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffled = lambda: {f for d in dirs for _, _, files in os.walk(d) for f in files if f.startswith("shuffle_")}
+    seen, load = [], operator_queries.load_distinct
+
+    def loaded(spark, folder, *more, **options):
+        seen.append((catalog.data_files(spark, folder), shuffled() - before))
+        load(spark, folder, *more, **options)
+        seen.append((None, shuffled() - before))
+
+    monkeypatch.setattr(operator_queries, "load_distinct", loaded)
+    threshold, cleanup = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = [spark.conf.get(k, None) for k in (threshold, cleanup)]
+    spark.conf.set(threshold, -1)
+    try:
+        before = shuffled()
+        rows = operator_queries.stream_distinct_sales(OrderLineStar(spark, f"{tmp_path}/star")).collect()
+    finally:
+        spark.conf.unset(threshold) if own[0] is None else spark.conf.set(threshold, own[0])
+    assert len(rows) == 900 and sorted(r.net for r in rows)[0] > 0
+    assert seen[0][0] and all(n.endswith(".csv.gz") for n in seen[0][0])
+    assert not seen[0][1] and not seen[1][1]
+    assert spark.conf.get(cleanup, None) == own[1]
